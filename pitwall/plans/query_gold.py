@@ -206,10 +206,10 @@ def _(t):
 @query(
     "pending_races",
     """SELECT DISTINCT race_id FROM control WHERE status = 'finished'
-       AND race_id NOT IN (SELECT race_id FROM incidents WHERE penalty_seconds = 5)""",
+       AND race_id NOT IN (SELECT race_id FROM incidents WHERE car_id = 'CAR-05')""",
 )
 def _(t):
-    done = t("incidents").filter("penalty_seconds = 5").select("race_id").distinct()
+    done = t("incidents").filter("car_id = 'CAR-05'").select("race_id").distinct()
     return lifecycle.pending_races(t("control"), done)
 
 
@@ -232,7 +232,7 @@ def _(t):
     return lifecycle.outbox_pending(t("outbox"), delivered)
 
 
-_CUTOFF = "TIMESTAMP '1999-01-01 00:00:00'"
+_CUTOFF = "TIMESTAMP '2001-10-01 00:00:00'"
 _CANDIDATES = f"""SELECT e.event_id, e.race_id, e.received_at, e.payload
     FROM stream_events e JOIN races r ON r.race_id = e.race_id
     WHERE r.status IN ('finished', 'stopped', 'failed')
@@ -248,7 +248,7 @@ def _candidates(t):
         t("stream_events"),
         t("races"),
         t("outbox"),
-        F.lit("1999-01-01 00:00:00").cast("timestamp_ntz"),
+        F.lit("2001-10-01 00:00:00").cast("timestamp_ntz"),
         days=30,
         limit=lifecycle.LARGEST_RETENTION_BATCH,
     )

@@ -1 +1,283 @@
-"""Streaming queries run to completion over the given tables."""
+"""Streaming queries run to completion over whole tables.
+
+Each query lays its input down as files in the shared folder, streams over them with
+``availableNow`` and returns the table the stream wrote.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pitwall.operators import dedup, laps
+from pitwall.operators.ranges import keep_first
+from pitwall.plans.query_gold import CLASSIFICATION
+from pitwall.plans.query_laps import COMPLETE
+from pitwall.plans.query_order import FRAMES_BATCH
+from pitwall.plans.registry import query
+from pitwall.sources import decode, layers, storage
+from pitwall.streaming import completion, frames, jobs, materialize
+
+
+def _files(t, df: DataFrame, name: str, per_trigger: int = 4) -> DataFrame:
+    """A table as a file stream."""
+    path = storage.scratch(t.spark, name)
+    df.write.parquet(path)
+    stored = t.spark.read.parquet(path)
+    return (
+        t.spark.readStream.schema(stored.schema)
+        .option("maxFilesPerTrigger", per_trigger)
+        .parquet(path)
+    )
+
+
+def _to_table(t, stream: DataFrame, name: str) -> DataFrame:
+    """Run an append stream to completion and read what it wrote."""
+    path = storage.scratch(t.spark, name)
+    running = (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", f"{path}/table")
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return t.spark.read.schema(stream.schema).parquet(f"{path}/table")
+
+
+def _records(t):
+    """The event table as broker records."""
+    return t("envelopes_replay").select(
+        F.col("event_key").cast("binary").alias("key"),
+        F.col("payload").cast("binary").alias("value"),
+        "topic",
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
+        F.col("kafka_timestamp").cast("timestamp").alias("timestamp"),
+    )
+
+
+@query(
+    "envelope_archive",
+    """SELECT topic, kafka_partition, kafka_offset, payload AS body, event_date_utc
+       FROM envelopes_replay""",
+)
+def _(t):
+    path = storage.scratch(t.spark, "archive")
+    stream = _files(t, _records(t), "records")
+    jobs.envelope_archive(stream, path, f"{path}-checkpoint", None).awaitTermination()
+    archived = t.spark.read.parquet(path)
+    return archived.select(
+        "topic", "kafka_partition", "kafka_offset",
+        F.col("avro_envelope").cast("string").alias("body"), "event_date_utc",
+    )
+
+
+@query(
+    "stream_dedup",
+    "SELECT DISTINCT CAST(kafka_offset AS STRING) AS event_id, topic, payload FROM envelopes_replay",
+)
+def _(t):
+    rows = t("envelopes_replay").select(
+        F.col("kafka_offset").cast("string").alias("event_id"),
+        "topic",
+        "payload",
+        F.col("kafka_timestamp").cast("timestamp").alias("seen_at"),
+    )
+    stream = _files(t, rows, "replays")
+    return _to_table(t, dedup.stream_dedup(stream, "seen_at", "60 days"), "dedup").drop("seen_at")
+
+
+_LAP_WRITER = """event_id string, race_id string, car_id string, lap int, lap_time_ms bigint,
+    valid boolean, pit_lap boolean, event_time string"""
+LAP_READER = f"{_LAP_WRITER}, sectors_ms array<bigint>, race_position int, neutralized boolean"
+LAP_CONTRACT = ({7: _LAP_WRITER}, LAP_READER)
+
+
+def _envelope(schema_id: int, *fields):
+    body = F.to_json(F.struct(*fields))
+    header = F.lpad(F.hex(F.lit(schema_id)), 8, "0")
+    return F.unhex(F.concat(F.lit("00"), header, F.hex(body)))
+
+
+def lap_records(t, view: str = "laps"):
+    """Lap facts as broker records with a JSON envelope."""
+    lap = F.col("lap") if view == "laps" else F.lit(1).alias("lap")
+    return t(view).select(
+        F.col("car_id").cast("binary").alias("key"),
+        _envelope(
+            7, "event_id", "race_id", "car_id", lap, "lap_time_ms", "valid", "pit_lap",
+            F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time"),
+        ).alias("value"),
+        F.lit("lap_completed").alias("topic"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
+        F.col("event_time").cast("timestamp").alias("timestamp"),
+    )
+
+
+def decode_laps(rows: DataFrame) -> DataFrame:
+    """Decode JSON lap envelopes."""
+    registry, reader = LAP_CONTRACT
+    return decode.decode_by_writer_schema(
+        rows, "lap_completed", registry, reader, decode.json_decoder
+    )
+
+
+@query(
+    "stream_lap_metrics",
+    """SELECT race_id, car_id, count(*) AS completed_lap_count,
+              CAST(count(*) FILTER (WHERE valid) AS BIGINT) AS valid_lap_count,
+              min(lap_time_ms) FILTER (WHERE valid) AS best_lap_time_ms,
+              max(lap_time_ms) FILTER (WHERE valid) AS worst_lap_time_ms,
+              CAST(coalesce(sum(lap_time_ms) FILTER (WHERE valid), 0) AS BIGINT) AS sum_lap_time_ms
+       FROM laps GROUP BY race_id, car_id""",
+)
+def _(t):
+    base = storage.scratch(t.spark, "lap-layers")
+    stream = _files(t, lap_records(t), "lap-records", 2)
+    jobs.stream_lap_metrics(
+        stream, decode_laps, base, f"{base}-checkpoint", None
+    ).awaitTermination()
+    partials = layers.committed_batch_scan(
+        t.spark.read.parquet(f"{base}/{jobs.LAP_PARTIALS}"),
+        t.spark.read.parquet(f"{base}/{jobs.LAP_COMMITS}"),
+    )
+    return laps.merge_lap_partials(partials).drop("average_lap_time_ms")
+
+
+@query(
+    "live_bests",
+    """SELECT race_id, car_id, team_id, checkpoint_id,
+              min(segment_time_ms) FILTER (WHERE valid AND NOT pit_lap) AS best_ms,
+              max(segment_time_ms) FILTER (WHERE valid AND NOT pit_lap) AS worst_ms,
+              CAST(count(*) FILTER (WHERE valid AND NOT pit_lap) AS BIGINT) AS crossings
+       FROM timing GROUP BY race_id, car_id, team_id, checkpoint_id""",
+)
+def _(t):
+    path = storage.scratch(t.spark, "live-bests")
+    rows = t("timing").select(
+        "race_id", "car_id", "team_id", "checkpoint_id", "segment_time_ms", "valid", "pit_lap"
+    )
+    running = (
+        jobs.live_bests(_files(t, rows, "crossings"))
+        .writeStream.foreachBatch(jobs.upsert_sink(f"{path}/table"))
+        .outputMode("update")
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    updates = t.spark.read.parquet(f"{path}/table")
+    keys = ["race_id", "car_id", "team_id", "checkpoint_id"]
+    return keep_first(updates, keys, [F.col("batch_id").desc()]).drop("batch_id")
+
+
+@query(
+    "lap_completion_stream",
+    f"""SELECT race_id, car_id, lap, event_id, lap_time_ms, s1_ms, s2_ms, s3_ms, pit_lap,
+               neutralized, valid FROM ({COMPLETE}) l""",
+)
+def _(t):
+    # The crossings of a lap come in any order; laps of a car are kept in one file.
+    crossings = t("timing").repartition(8, "race_id", "car_id")
+    return _to_table(
+        t, completion.lap_completion_stream(_files(t, crossings, "laps-in")), "laps-out"
+    )
+
+
+@query(
+    "frame_assembler",
+    f"""SELECT race_id, snapshot_id, car_id, race_position, laps_completed
+        FROM ({FRAMES_BATCH}) f WHERE complete""",
+)
+def _(t):
+    samples = t("frames").select(
+        "race_id", "car_id", "snapshot_id", "race_position", "laps_completed"
+    )
+    entered = (
+        t("race_participants")
+        .groupBy("race_id")
+        .agg(F.collect_list("car_id").alias("participants"))
+        .withColumn("source_sequence", F.lit(1))
+    )
+    # Races are kept whole in one file, so every race sees its snapshots in order.
+    telemetry = _files(t, samples.repartition(8, "race_id"), "samples", 1000)
+    control = _files(t, entered, "entries", 1000)
+    rows = _to_table(t, frames.frame_assembler(telemetry, control), "frames-out")
+    laps_completed = F.get_json_object("payload", "$.laps_completed").cast("int")
+    return rows.filter("complete").select(
+        "race_id", "snapshot_id", "car_id", "race_position", laps_completed.alias("laps_completed")
+    )
+
+
+_CONTROL = "race_id string, status string, source_sequence bigint"
+_STOP = """event_id string, race_id string, car_id string, stop_number int, phase string,
+    pit_stop_time_ms bigint, event_time string"""
+_CAR = """race_id: string, car_id: string, driver_id: string, driver_name: string,
+    driver_country_code: string, team_id: string, race_status: string, race_position: int,
+    laps_completed: int, best_lap_time_ms: bigint, worst_lap_time_ms: bigint, pit_stops: int"""
+_STATE = f"""event_id string, event_time string, race_id string, snapshot_id bigint,
+    complete boolean, cars array<struct<telemetry: struct<{_CAR}>, stale: boolean>>"""
+_CONTROL_FULL = f"{_CONTROL}, event_id string, event_time string"
+CONTRACTS = {
+    "control": ({3: _CONTROL_FULL}, _CONTROL_FULL),
+    "state": ({4: _STATE}, _STATE),
+    "pitstop": ({5: _STOP}, _STOP),
+    "lap_completed": LAP_CONTRACT,
+}
+
+
+def race_archive(t) -> DataFrame:
+    """Broker records of four topics derived from the shared tables."""
+    moment = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    when = F.lit("2024-01-01T00:00:00").alias("event_time")
+
+    def record(df: DataFrame, topic: str, offset, schema_id: int, *fields) -> DataFrame:
+        return df.select(
+            F.col("race_id").cast("binary").alias("key"),
+            _envelope(schema_id, *fields).alias("value"),
+            F.lit(topic).alias("topic"),
+            F.lit(0).alias("partition"),
+            offset.cast("bigint").alias("offset"),
+            moment.alias("timestamp"),
+        )
+
+    control = t("control").withColumn("event_id", F.concat_ws(":", "race_id", "source_sequence"))
+    names = [part.split(":")[0].strip() for part in _CAR.split(",")]
+    car = F.struct(F.struct(*names).alias("telemetry"), F.lit(False).alias("stale"))
+    state = (
+        t("final_state")
+        .groupBy("race_id")
+        .agg(F.max("snapshot_id").alias("snapshot_id"), F.collect_list(car).alias("cars"))
+        .withColumn("event_id", F.concat("race_id", F.lit(":state")))
+        .withColumn("complete", F.lit(True))
+    )
+    return (
+        record(control, "control", F.col("source_sequence"), 3, "race_id", "status",
+               "source_sequence", "event_id", when)
+        .unionByName(
+            record(state, "state", F.lit(1), 4, "event_id", when, "race_id", "snapshot_id",
+                   "complete", "cars")
+        )
+        .unionByName(
+            record(t("pitstops"), "pitstop", F.col("event_id"), 5, "event_id", "race_id",
+                   "car_id", "stop_number", "phase", "pit_stop_time_ms", when)
+        )
+        .unionByName(lap_records(t, "laps_raw"))
+    )
+
+
+@query("materialize_finished_races", f"""SELECT c.* FROM ({CLASSIFICATION}) c
+    WHERE c.race_id IN (SELECT race_id FROM control WHERE status = 'finished')""")
+def _(t):
+    base = storage.scratch(t.spark, "medallion")
+    stream = _files(t, race_archive(t), "race-records", 16)
+    jobs.envelope_archive(
+        stream, f"{base}/{materialize.ARCHIVE}", f"{base}/checkpoint", None
+    ).awaitTermination()
+    materialize.materialize_finished_races(t.spark, base, CONTRACTS, decode.json_decoder)
+    return t.spark.read.parquet(f"{base}/{materialize.GOLD_CLASSIFICATION}")
+
+
