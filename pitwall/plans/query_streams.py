@@ -32,17 +32,27 @@ def _files(t, df: DataFrame, name: str, per_trigger: int = 4) -> DataFrame:
 
 
 def _to_table(t, stream: DataFrame, name: str) -> DataFrame:
-    """Run an append stream to completion and read what it wrote."""
+    """Run an append stream to completion and read what it wrote.
+
+    A state function with a timeout asks for batches without data for ever, so a run over the
+    available data goes without them.
+    """
     path = storage.scratch(t.spark, name)
-    running = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{path}/table")
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
+    idle_batches = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = t.spark.conf.get(idle_batches)
+    t.spark.conf.set(idle_batches, "false")
+    try:
+        running = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", f"{path}/table")
+            .option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        running.awaitTermination()
+    finally:
+        t.spark.conf.set(idle_batches, before)
     return t.spark.read.schema(stream.schema).parquet(f"{path}/table")
 
 

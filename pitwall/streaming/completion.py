@@ -2,95 +2,70 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT = """race_id string, car_id string, lap int, event_id string, lap_time_ms bigint,
     s1_ms bigint, s2_ms bigint, s3_ms bigint, pit_lap boolean, neutralized boolean,
     valid boolean"""
+STATE = "open_laps string, emitted string"
 _COLUMNS = [part.split()[0] for part in OUTPUT.split(",")]
 _INPUT = ["lap", "checkpoint_id", "sector", "event_id", "lap_elapsed_ms", "sector_time_ms",
           "pit_lap", "neutralized", "valid"]
 
-# Open laps and emitted lap numbers are dropped after this time without an update.
-STATE_TTL_MS = 6 * 60 * 60 * 1000
+# A car without crossings for this long is forgotten.
+IDLE_MS = 6 * 60 * 60 * 1000
 
 
-class LapProcessor(StatefulProcessor):
-    """Open laps of one car of one race."""
+def _fold(lap: dict[str, Any], row: Any) -> None:
+    """Add one crossing to an open lap; of two finish reports the lower id stays."""
+    lap["neutralized"] = bool(lap.get("neutralized") or row.neutralized)
+    if row.sector:
+        lap[f"s{int(row.sector)}"] = int(row.sector_time_ms)
+    if row.checkpoint_id == "SF" and row.event_id <= lap.get("event_id", row.event_id):
+        lap["event_id"], lap["time"] = row.event_id, int(row.lap_elapsed_ms)
+        lap["pit"], lap["valid"] = bool(row.pit_lap), bool(row.valid)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        """Declare open laps and the numbers of laps already emitted."""
-        self._open = handle.getMapState(
-            "open",
-            "lap int",
-            """event_id string, lap_time_ms bigint, s1 bigint, s2 bigint, s3 bigint,
-               pit_lap boolean, neutralized boolean, valid boolean""",
-            STATE_TTL_MS,
-        )
-        self._done = handle.getMapState("done", "lap int", "emitted boolean", STATE_TTL_MS)
 
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        """Fold the crossings of each lap into its open state and emit what is whole."""
-        finished = []
-        batch = pd.concat(list(rows), ignore_index=True)
-        for number, crossings in batch.groupby("lap"):
-            lap = (int(number),)
-            if self._done.containsKey(lap):
-                continue
-            known = self._open.getValue(lap) if self._open.containsKey(lap) else None
-            state = _fold(known, crossings)
-            event_id, time, s1, s2, s3, pit_lap, neutralized, valid = state
-            if time is None or None in (s1, s2, s3):
-                self._open.updateValue(lap, state)
-                continue
-            if known is not None:
-                self._open.removeKey(lap)
-            self._done.updateValue(lap, (True,))
-            finished.append(
-                (key[0], key[1], lap[0], event_id, time, s1, s2, s3, pit_lap, neutralized,
-                 valid and not neutralized)
-            )
-        yield pd.DataFrame(finished, columns=_COLUMNS).astype(
-            {"lap": "int32", "pit_lap": "bool", "neutralized": "bool", "valid": "bool"}
-            | {name: "int64" for name in ("lap_time_ms", "s1_ms", "s2_ms", "s3_ms")}
+def complete(
+    key: Any, batches: Iterator[pd.DataFrame], state: GroupState
+) -> Iterator[pd.DataFrame]:
+    """State function of one car of one race."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    open_text, emitted_text = state.get if state.exists else ("{}", "[]")
+    open_laps = {int(number): lap for number, lap in json.loads(open_text).items()}
+    emitted = set(json.loads(emitted_text))
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            if row.lap not in emitted:
+                _fold(open_laps.setdefault(int(row.lap), {}), row)
+    whole = [n for n, lap in open_laps.items() if {"time", "s1", "s2", "s3"} <= lap.keys()]
+    rows = []
+    for number in sorted(whole):
+        lap = open_laps.pop(number)
+        emitted.add(number)
+        rows.append(
+            (*key, number, lap["event_id"], lap["time"], lap["s1"], lap["s2"], lap["s3"],
+             lap["pit"], lap["neutralized"], lap["valid"] and not lap["neutralized"])
         )
-
-    def close(self) -> None:
-        """Nothing to release."""
-
-
-def _fold(known: Any, crossings: pd.DataFrame) -> tuple:
-    """Open state of a lap after more of its crossings."""
-    start = (None, None, None, None, None, False, False, True)
-    event_id, time, *sectors, pit_lap, neutralized, valid = tuple(known) if known else start
-    neutralized = bool(neutralized or crossings["neutralized"].any())
-    for row in crossings.sort_values(["event_id"], ascending=False).itertuples(index=False):
-        if row.sector:
-            sectors[int(row.sector) - 1] = int(row.sector_time_ms)
-        if row.checkpoint_id == "SF":
-            event_id, time = row.event_id, int(row.lap_elapsed_ms)
-            pit_lap, valid = bool(row.pit_lap), bool(row.valid)
-    return (event_id, time, *sectors, pit_lap, neutralized, valid)
+    state.update((json.dumps(open_laps), json.dumps(sorted(emitted))))
+    state.setTimeoutDuration(IDLE_MS)
+    yield pd.DataFrame(rows, columns=_COLUMNS)
 
 
 def lap_completion_stream(timing: DataFrame) -> DataFrame:
     """Stream of completed laps; replayed crossings of an emitted lap change nothing."""
     return (
         timing.select("race_id", "car_id", *_INPUT)
-        .withColumn("sector_time_ms", F.col("sector_time_ms").cast("double"))
         .groupBy("race_id", "car_id")
-        .transformWithStateInPandas(
-            statefulProcessor=LapProcessor(),
-            outputStructType=OUTPUT,
-            outputMode="Append",
-            timeMode="ProcessingTime",
+        .applyInPandasWithState(
+            complete, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
         )
     )
