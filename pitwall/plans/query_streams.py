@@ -123,7 +123,7 @@ def lap_records(t, view: str = "laps"):
         F.lit("lap_completed").alias("topic"),
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
-        F.col("event_time").cast("timestamp").alias("timestamp"),
+        F.date_trunc("year", F.col("event_time").cast("timestamp")).alias("timestamp"),
     )
 
 

@@ -25,7 +25,7 @@ SILVER_FINAL = "silver/final_telemetry"
 GOLD_CLASSIFICATION = "gold/classification"
 GOLD_SUMMARY = "gold/summary"
 
-SUMMARY_SCHEMA = T.StructType.fromDDL("value string, race_id string")
+SUMMARIES = "value string, race_id string"
 FACTS = """event_id string, race_id string, car_id string, lap int, lap_time_ms bigint,
     valid boolean, sectors_ms array<bigint>, pit_lap boolean, race_position int,
     event_time string, kafka_partition int, kafka_offset bigint, batch_id bigint"""
@@ -55,7 +55,7 @@ def read_summaries(spark: SparkSession, base: str) -> DataFrame:
     system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not system.exists(hadoop):
         return spark.createDataFrame([], "race_id string, json string")
-    texts = spark.read.schema(SUMMARY_SCHEMA).format("text").load(path)
+    texts = spark.read.schema(SUMMARIES).format("text").load(path)
     return texts.select("race_id", F.col("value").alias("json"))
 
 
