@@ -8,7 +8,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from pitwall.plans.adapters import Tables
+from pitwall.plans.adapters import STORED, Tables
 from pitwall.plans.registry import queries
 
 HEADLINE = (
@@ -63,6 +63,11 @@ def main() -> None:
     Tables(spark, folder)("lineitem").write.format("noop").mode("overwrite").save()
     _run(registered["valid_lap_stats"](spark, folder))
     seconds = {}
+    # The event tables derived from the base tables are written once and count as a query.
+    start = time.perf_counter()
+    for view in STORED:
+        Tables(spark, folder)(view)
+    seconds["event_tables"] = round(time.perf_counter() - start, 3)
     for name in names:
         start = time.perf_counter()
         _run(registered[name](spark, folder))

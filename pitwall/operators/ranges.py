@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 SLICE = "_slice"
 IS_ROW = "_is_row"
 
-# Default slice widths, in units of the ordering column.
-CLOCK_SLICE_US = 60_000_000
+# Default slice widths, in units of the ordering column.  A clock slice spans several laps, so the
+# seed rows of a car are few beside its crossings; denser races may use narrower slices.
+CLOCK_SLICE_US = 600_000_000
 SNAPSHOT_SLICE = 512
 POSITION_SLICE = 512
 

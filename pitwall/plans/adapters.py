@@ -12,6 +12,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitwall.sources.storage import scratch
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -340,6 +342,12 @@ def with_views(sql: str) -> str:
     return f"WITH {', '.join(chain)} {body}"
 
 
+# Event tables that are written once per session and data folder, as an ingest job would; the
+# operators then read stored columns instead of deriving the events anew.
+STORED = ("laps", "timing", "frames", "final_state", "timing_cut", "order_cut")
+_stored: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
     """Base tables and adapter views of one data folder as DataFrames."""
 
@@ -351,12 +359,36 @@ class Tables:
         """DataFrame of a base table or an adapter view."""
         if name in TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        views = _needed(name)
-        words = set(re.findall(r"[a-z_]+", " ".join(_VIEWS[view] for view in views)))
+        if name in STORED:
+            return self.spark.read.parquet(self._path(name))
+        return self._derive(name)
+
+    def _path(self, view: str) -> str:
+        """Folder of a stored view under the shared root; written on first use."""
+        key = (self.spark.sparkContext.applicationId, self.folder, view)
+        if key not in _stored:
+            path = scratch(self.spark, f"table-{view}")
+            self._derive(view).write.parquet(path)
+            _stored[key] = path
+        return _stored[key]
+
+    def _derive(self, name: str) -> DataFrame:
+        """Plan of a view over base tables and stored views."""
+        chain: dict[str, str] = {}
+        pending = [name]
+        while pending:
+            view = pending.pop()
+            if view in STORED and view != name:
+                chain[view] = f"SELECT * FROM parquet.`{self._path(view)}`"
+                continue
+            chain[view] = _text(view, True)
+            words = set(re.findall(r"[a-z_]+", _VIEWS[view]))
+            pending += [other for other in words & set(_VIEWS) if other not in chain and other != view]
+        used = set(re.findall(r"[a-z_]+", " ".join(_VIEWS[v] for v in chain if v not in STORED or v == name)))
         base = [
             f"{table} AS (SELECT * FROM parquet.`{self.folder}/{table}.parquet`)"
             for table in TABLES
-            if table in words
+            if table in used
         ]
-        chain = [f"{view} AS ({_text(view, True)})" for view in views]
-        return self.spark.sql(f"WITH {', '.join(base + chain)} SELECT * FROM {name}")
+        views = [f"{view} AS ({chain[view]})" for view in _VIEWS if view in chain]
+        return self.spark.sql(f"WITH {', '.join(base + views)} SELECT * FROM {name}")
