@@ -45,34 +45,24 @@ def crossing_times(
     length = track["length_m"]
     first_lap = F.greatest(F.lit(0), F.floor(F.col("_from_m") / length)).cast("int")
     last_lap = F.floor(F.col("distance_m") / length).cast("int")
-
-    def passed(lap: Column) -> Column:
-        at = F.transform(
-            track_lines(track),
-            lambda line: F.struct(
-                lap.alias("lap_index"),
-                line["checkpoint_id"].alias("checkpoint_id"),
-                line["sector"].alias("sector"),
-                ((lap + line["fraction"]) * length).alias("boundary_m"),
-            ),
-        )
-        return F.filter(
-            at,
-            lambda line: (F.col("_from_m") < line["boundary_m"])
-            & (line["boundary_m"] <= F.col("distance_m")),
-        )
-
-    laps = F.when(last_lap >= first_lap, F.sequence(first_lap, last_lap))
-    crossed = steps.withColumn("_line", F.explode(F.flatten(F.transform(laps, passed))))
-    share = (F.col("_line.boundary_m") - F.col("_from_m")) / (
-        F.col("distance_m") - F.col("_from_m")
+    # The laps touched by a step and the lines of a lap are both short, so each step fans out to
+    # a few candidate lines, of which those inside the step remain.
+    candidates = (
+        steps.filter(last_lap >= first_lap)
+        .withColumn("_lap", F.explode(F.sequence(first_lap, last_lap)))
+        .select("*", F.inline(track_lines(track)))
+        .withColumn("_boundary_m", (F.col("_lap") + F.col("fraction")) * length)
+    )
+    passed = (F.col("_from_m") < F.col("_boundary_m")) & (
+        F.col("_boundary_m") <= F.col("distance_m")
     )
+    share = (F.col("_boundary_m") - F.col("_from_m")) / (F.col("distance_m") - F.col("_from_m"))
     at_us = F.col("_from_us") + share * (F.col("simulation_time_us") - F.col("_from_us"))
-    return crossed.select(
+    return candidates.filter(passed).select(
         *CAR,
-        (F.col("_line.lap_index") + 1).alias("lap"),
-        F.col("_line.checkpoint_id").alias("checkpoint_id"),
-        F.col("_line.sector").alias("sector"),
+        (F.col("_lap") + 1).alias("lap"),
+        "checkpoint_id",
+        "sector",
         F.bround(at_us, 0).cast("bigint").alias("crossing_us"),
     )
 
