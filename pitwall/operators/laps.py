@@ -79,13 +79,13 @@ def fact_lap_counts(laps: DataFrame) -> DataFrame:
 
 def race_finish_gate(final_state: DataFrame) -> DataFrame:
     """Races whose cars are all finished in their last complete frame."""
-    finished = F.col("race_status") == "finished"
-    return final_state.groupBy("race_id").agg(
-        F.countDistinct("car_id").alias("cars"),
-        F.countDistinct(F.when(finished, F.col("car_id"))).alias("finished_cars"),
-        (F.countDistinct(F.when(finished, F.col("car_id"))) == F.countDistinct("car_id")).alias(
-            "ready"
-        ),
+    cars = final_state.groupBy(*CAR).agg(
+        F.bool_or(F.col("race_status") == "finished").alias("finished")
+    )
+    return cars.groupBy("race_id").agg(
+        F.count("*").alias("cars"),
+        F.count_if(F.col("finished")).alias("finished_cars"),
+        F.bool_and(F.coalesce("finished", F.lit(False))).alias("ready"),
     )
 
 

@@ -152,7 +152,7 @@ TELEMETRY_TIMES = ("event_time", "produced_at")
 
 
 def _between(value: Column, lowest: float, highest: float | None) -> Column:
-    number = value.cast("double")
+    number = value.try_cast("double")
     inside = (number >= lowest) & ~F.isnan(number)
     return inside if highest is None else inside & (number <= highest)
 

@@ -75,14 +75,21 @@ def latest_split(timing: DataFrame) -> DataFrame:
 def splits_with_bests(timing: DataFrame) -> DataFrame:
     """Latest split per car and checkpoint, compared with personal, team and race bests.
 
+    Input is deduplicated by logical key, so a car has one crossing per lap and checkpoint.
     Crossings are reduced to one row per car and checkpoint in a single pass; team and race
     bests are minima over that reduced table, whose groups hold the entrants of one race.
     """
-    newest = F.struct("lap", "simulation_time_us", "event_id")
-    shown = F.struct("lap", "segment_time_ms", "lap_elapsed_ms", counts_for_records().alias("ok"))
+    ok = counts_for_records()
+
+    def newest(value: Column) -> Column:
+        return F.max_by(value, F.col("lap"))
+
+    # Numbers only, so the reduction is a hash aggregation without a sort of the crossings.
     reduced = timing.groupBy(*CAR, "team_id", "checkpoint_id").agg(
-        F.max_by(shown, newest).alias("split"),
-        F.max(newest).alias("newest"),
+        F.max("lap").alias("lap"),
+        newest(F.col("segment_time_ms")).alias("segment_time_ms"),
+        newest(F.col("lap_elapsed_ms")).alias("lap_elapsed_ms"),
+        newest(ok).alias("valid"),
         F.min(_record_time()).alias("best_team_ms"),
     )
     # A car that changed team keeps one split row but adds to the best of each of its teams.
@@ -92,26 +99,26 @@ def splits_with_bests(timing: DataFrame) -> DataFrame:
     compared = (
         reduced.withColumn("best_race_ms", F.min("best_team_ms").over(point))
         .withColumn("best_personal_ms", F.min("best_team_ms").over(own))
-        .withColumn("last_seen", F.max("newest").over(own))
+        .withColumn("_last_lap", F.max("lap").over(own))
         .withColumn("best_team_ms", F.min("best_team_ms").over(team))
-        .filter(F.col("newest") == F.col("last_seen"))
+        .filter(F.col("lap") == F.col("_last_lap"))
     )
-    time = F.col("split.segment_time_ms")
+    time = F.col("segment_time_ms")
     return compared.select(
         *CAR,
         "team_id",
         "checkpoint_id",
-        F.col("split.lap").alias("lap"),
-        time.alias("segment_time_ms"),
-        F.col("split.lap_elapsed_ms").alias("lap_elapsed_ms"),
+        "lap",
+        "segment_time_ms",
+        "lap_elapsed_ms",
         "best_personal_ms",
         "best_team_ms",
         "best_race_ms",
         (time - F.col("best_personal_ms")).alias("delta_ms"),
         split_color(
-            F.col("split.ok"), time, F.col("best_personal_ms"), F.col("best_race_ms")
+            F.col("valid"), time, F.col("best_personal_ms"), F.col("best_race_ms")
         ).alias("color"),
-        F.col("split.ok").alias("valid"),
+        "valid",
     )
 
 
