@@ -67,16 +67,25 @@ def _(t):
 
 
 @query(
-    "medal_trophy",
+    "medal",
     """SELECT race_id, car_id, race_position,
               CASE race_position WHEN 1 THEN 'ouro' WHEN 2 THEN 'prata' WHEN 3 THEN 'bronze' END
-                AS medal, CASE WHEN race_position <= 3 THEN '🏆' END AS trophy FROM final_state""",
+                AS medal FROM final_state""",
+)
+def _(t):
+    position = F.col("race_position")
+    return t("final_state").select("race_id", "car_id", position, fn.medal(position).alias("medal"))
+
+
+@query(
+    "trophy",
+    """SELECT race_id, car_id, race_position, CASE WHEN race_position <= 3 THEN '🏆' END AS trophy
+       FROM final_state""",
 )
 def _(t):
     position = F.col("race_position")
     return t("final_state").select(
-        "race_id", "car_id", "race_position",
-        fn.medal(position).alias("medal"), fn.trophy(position).alias("trophy"),
+        "race_id", "car_id", position, fn.trophy(position).alias("trophy")
     )
 
 

@@ -111,10 +111,10 @@ def _envelope(schema_id: int, *fields):
     return F.unhex(F.concat(F.lit("00"), header, F.hex(body)))
 
 
-def lap_records(t, view: str = "laps"):
+def lap_records(t, view: str = "laps", condition: str = "true") -> DataFrame:
     """Lap facts as broker records with a JSON envelope."""
     lap = F.col("lap") if view == "laps" else F.lit(1).alias("lap")
-    return t(view).select(
+    return t(view).filter(condition).select(
         F.col("car_id").cast("binary").alias("key"),
         _envelope(
             7, "event_id", "race_id", "car_id", lap, "lap_time_ms", "valid", "pit_lap",
@@ -157,6 +157,25 @@ def _(t):
     return laps.merge_lap_partials(partials).drop("average_lap_time_ms")
 
 
+@query(
+    "lap_microbatch_sink",
+    """SELECT event_id, race_id, car_id, lap, lap_time_ms, valid, pit_lap, kafka_partition,
+              kafka_offset, CASE WHEN valid THEN 0 ELSE 1 END AS batch_id FROM laps""",
+)
+def _(t):
+    base = storage.scratch(t.spark, "lap-batches")
+    sink = jobs.lap_microbatch_sink(decode_laps, base)
+    first = lap_records(t, "laps", "valid")
+    # The first batch is delivered again after the second one and replaces itself.
+    for number, batch in ((0, first), (1, lap_records(t, "laps", "NOT valid")), (0, first)):
+        sink(batch, number)
+    facts = layers.committed_batch_scan(
+        t.spark.read.parquet(f"{base}/{jobs.LAP_FACTS}"),
+        t.spark.read.parquet(f"{base}/{jobs.LAP_COMMITS}"),
+    )
+    return facts.drop("sectors_ms", "race_position", "event_time")
+
+
 @query(
     "live_bests",
     """SELECT race_id, car_id, team_id, checkpoint_id,
