@@ -14,6 +14,7 @@ from pitwall.functions.track import (
     corner_radius_at,
     corner_speed_limit,
     grip_lookup,
+    known_lines,
     track_column,
     track_lines,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "format_gap",
     "format_lap_time",
     "grip_lookup",
+    "known_lines",
     "lap_time_estimate",
     "medal",
     "split_color",

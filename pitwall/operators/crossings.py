@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.functions.track import track_lines
+from pitwall.functions.track import known_lines, track_lines
 from pitwall.operators import ranges
 
 CAR = ["race_id", "car_id"]
@@ -18,13 +20,17 @@ PHASES = ("entry", "service_started", "service_finished", "exit")
 
 def crossing_times(
     samples: DataFrame,
-    track: Column,
+    track: Column | Mapping[str, object],
     slice_us: int = ranges.CLOCK_SLICE_US,
 ) -> DataFrame:
     """When each car passed each timing line, interpolated between its distance samples.
 
-    A step may pass several lines; the first sample of a car passes none.
+    A step may pass several lines; the first sample of a car passes none.  ``track`` is one known
+    track, or a constant track column.
     """
+    is_column = isinstance(track, Column)
+    lines = track_lines(track) if is_column else known_lines(track)
+    length = track["length_m"] if is_column else F.lit(track["length_m"])
     rows = ranges.with_slice(
         samples.select(*CAR, "simulation_time_us", "distance_m"), "simulation_time_us", slice_us
     )
@@ -42,7 +48,6 @@ def crossing_times(
         )
     ).filter(F.col("distance_m") > F.col("_from_m"))
 
-    length = track["length_m"]
     first_lap = F.greatest(F.lit(0), F.floor(F.col("_from_m") / length)).cast("int")
     last_lap = F.floor(F.col("distance_m") / length).cast("int")
     # The laps touched by a step and the lines of a lap are both short, so each step fans out to
@@ -50,7 +55,7 @@ def crossing_times(
     candidates = (
         steps.filter(last_lap >= first_lap)
         .withColumn("_lap", F.explode(F.sequence(first_lap, last_lap)))
-        .select("*", F.inline(track_lines(track)))
+        .select("*", F.inline(lines))
         .withColumn("_boundary_m", (F.col("_lap") + F.col("fraction")) * length)
     )
     passed = (F.col("_from_m") < F.col("_boundary_m")) & (

@@ -259,7 +259,7 @@ def _(t):
         WHERE from_m < (g.i + k.fraction) * 4309.0 AND (g.i + k.fraction) * 4309.0 <= distance_m""",
 )
 def _(t):
-    return crossings.crossing_times(t("telemetry"), track_column())
+    return crossings.crossing_times(t("telemetry"), INTERLAGOS)
 
 
 @query(
