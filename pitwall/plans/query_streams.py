@@ -307,6 +307,6 @@ def _(t):
         stream, f"{base}/{materialize.ARCHIVE}", f"{base}/checkpoint", None
     ).awaitTermination()
     materialize.materialize_finished_races(t.spark, base, CONTRACTS, decode.json_decoder)
-    return t.spark.read.parquet(f"{base}/{materialize.GOLD_CLASSIFICATION}")
+    return materialize.read_classification(t.spark, base)
 
 

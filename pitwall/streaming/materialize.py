@@ -1,8 +1,15 @@
-"""Layers of every finished race, built by one batch job over all pending races."""
+"""Layers of every finished race, built by one batch job over all pending races.
+
+Each run writes its races under one ``run_id`` partition of every layer table and commits the run
+last.  Readers see committed runs only, so a failed run leaves nothing visible and is simply
+repeated; the number of folders grows with the runs, not with the races.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +20,7 @@ from pitwall.operators.order import latest_complete_frame
 from pitwall.operators.projections import bronze_projection, flatten_state_cars
 from pitwall.schemas import TOPICS
 from pitwall.sources.decode import Decoder, avro_decoder, decode_by_writer_schema
-from pitwall.sources.layers import archive_scan, committed_batch_scan, layer_table_sink, read_layer
+from pitwall.sources.layers import archive_scan, committed_batch_scan, read_layer
 from pitwall.sources.storage import CHECKPOINT_SETTING, shared_root
 from pitwall.streaming.jobs import LAP_COMMITS, LAP_FACTS, LAP_PARTIALS, LAP_WINDOWS
 
@@ -24,8 +31,11 @@ SILVER_STOPS = "silver/pit_stops"
 SILVER_FINAL = "silver/final_telemetry"
 GOLD_CLASSIFICATION = "gold/classification"
 GOLD_SUMMARY = "gold/summary"
+GOLD_COMMITS = "gold/commits"
 
-SUMMARIES = "value string, race_id string"
+RUN = "run_id string"
+SUMMARIES = f"race_id string, json string, {RUN}"
+RUN_COMMITS = f"races bigint, {RUN}"
 FACTS = """event_id string, race_id string, car_id string, lap int, lap_time_ms bigint,
     valid boolean, sectors_ms array<bigint>, pit_lap boolean, race_position int,
     event_time string, kafka_partition int, kafka_offset bigint, batch_id bigint"""
@@ -34,7 +44,7 @@ WINDOWS = """topic string, kafka_timestamp timestamp, kafka_partition int, kafka
     avro_envelope binary, batch_id bigint"""
 PARTIALS = """race_id string, car_id string, completed_lap_count bigint, valid_lap_count bigint,
     best_lap_time_ms bigint, worst_lap_time_ms bigint, sum_lap_time_ms bigint, batch_id bigint"""
-COMMITS = "done boolean, batch_id bigint"
+BATCH_COMMITS = "done boolean, batch_id bigint"
 
 # topic -> (writer schema per id, reader schema)
 Contracts = Mapping[str, tuple[Mapping[int, str], str]]
@@ -48,15 +58,42 @@ def _checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _schema(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
+def read_committed(spark: SparkSession, base: str, table: str, schema: T.StructType) -> DataFrame:
+    """Rows of a layer table from committed runs; ``schema`` ends with ``run_id``."""
+    commits = read_layer(spark, f"{base}/{GOLD_COMMITS}", _schema(RUN_COMMITS))
+    rows = read_layer(spark, f"{base}/{table}", schema)
+    return rows.join(commits.select("run_id"), "run_id", "left_semi")
+
+
 def read_summaries(spark: SparkSession, base: str) -> DataFrame:
-    """Gold summaries written so far: ``race_id, json``."""
-    path = f"{base}/{GOLD_SUMMARY}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(hadoop):
-        return spark.createDataFrame([], "race_id string, json string")
-    texts = spark.read.schema(SUMMARIES).format("text").load(path)
-    return texts.select("race_id", F.col("value").alias("json"))
+    """Gold summaries of the races done so far: ``race_id, json``."""
+    return read_committed(spark, base, GOLD_SUMMARY, _schema(SUMMARIES)).select("race_id", "json")
+
+
+def read_classification(spark: SparkSession, base: str) -> DataFrame:
+    """Gold classification of the races done so far."""
+    schema = _schema(f"{gold.CLASSIFICATION}, {RUN}")
+    return read_committed(spark, base, GOLD_CLASSIFICATION, schema).drop("run_id")
+
+
+def _run_writer(spark: SparkSession, base: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Writer of one run: stores a table in the run's partition and reads it back."""
+    run = f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+    def write(df: DataFrame, table: str) -> DataFrame:
+        path = f"{base}/{table}/run_id={run}"
+        # Rows of a race lie together, a race of any size is split over several files.
+        clustered = df.hint("rebalance", "race_id") if "race_id" in df.columns else df
+        if "race_id" in df.columns:
+            clustered = clustered.sortWithinPartitions("race_id")
+        clustered.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return write
 
 
 def materialize_finished_races(
@@ -67,11 +104,11 @@ def materialize_finished_races(
 ) -> DataFrame:
     """Write bronze, silver and gold of every finished race that has no summary yet.
 
-    A race whose cars are not all finished in the archive waits for the next run.  Tables are
-    replaced race by race and the summary, which marks a race as done, is written last, so a
-    failed run is simply repeated.  Returns the races written.
+    A race whose cars are not all finished in the archive waits for the next run.  Returns the
+    races written.
     """
     archive = archive_scan(spark, f"{base}/{ARCHIVE}")
+    write = _run_writer(spark, base)
 
     def decoded(topic: str) -> DataFrame:
         registry, reader = contracts[topic]
@@ -81,65 +118,43 @@ def materialize_finished_races(
     def events(topic: str, races: DataFrame) -> DataFrame:
         return decoded(topic).select("evento.*").join(races, "race_id", "left_semi")
 
-    pending = _checkpointed(
-        spark,
-        lifecycle.pending_races(decoded("control").select("evento.*"), read_summaries(spark, base)),
-    )
-    final = latest_complete_frame(
+    def incremental(table: str, schema: str) -> DataFrame:
+        commits = read_layer(spark, f"{base}/{LAP_COMMITS}", _schema(BATCH_COMMITS))
+        rows = read_layer(spark, f"{base}/{table}", _schema(schema))
+        return committed_batch_scan(rows, commits).join(ready, "race_id", "left_semi")
+
+    controls = decoded("control").select("evento.*")
+    pending = _checkpointed(spark, lifecycle.pending_races(controls, read_summaries(spark, base)))
+    newest = latest_complete_frame(
         flatten_state_cars(events("state", pending))
         .withColumn("snapshot_id", F.col("frame_snapshot_id"))
         .drop("frame_snapshot_id")
     )
-    ready = _checkpointed(
-        spark, laps.race_finish_gate(final).filter("ready").select("race_id")
-    )
-    layer_table_sink(final.join(ready, "race_id", "left_semi"), f"{base}/{SILVER_FINAL}")
-    stored_final = spark.read.parquet(f"{base}/{SILVER_FINAL}").join(ready, "race_id", "left_semi")
-
-    commits = read_layer(spark, f"{base}/{LAP_COMMITS}", T.StructType.fromDDL(COMMITS))
-    facts = committed_batch_scan(
-        read_layer(spark, f"{base}/{LAP_FACTS}", T.StructType.fromDDL(FACTS)), commits
-    ).join(ready, "race_id", "left_semi")
-    partials = committed_batch_scan(
-        read_layer(spark, f"{base}/{LAP_PARTIALS}", T.StructType.fromDDL(PARTIALS)), commits
-    ).join(ready, "race_id", "left_semi")
-    merged = laps.merge_lap_partials(partials)
-    coverage = _checkpointed(spark, gold.incremental_coverage(stored_final, merged, facts))
-
+    ready = _checkpointed(spark, laps.race_finish_gate(newest).filter("ready").select("race_id"))
+    if ready.isEmpty():
+        return ready
+    final = write(newest.join(ready, "race_id", "left_semi"), SILVER_FINAL)
+
+    facts = incremental(LAP_FACTS, FACTS)
+    merged = laps.merge_lap_partials(incremental(LAP_PARTIALS, PARTIALS))
+    coverage = _checkpointed(spark, gold.incremental_coverage(final, merged, facts))
     raw = decoded("lap_completed").select("kafka_partition", "kafka_offset", "evento.*")
-    chosen = gold.lap_source_choice(
-        coverage, facts, raw.join(ready, "race_id", "left_semi")
-    )
-    layer_table_sink(chosen, f"{base}/{SILVER_LAPS}")
-    layer_table_sink(events("pitstop", ready), f"{base}/{SILVER_STOPS}")
-    windows = committed_batch_scan(
-        read_layer(spark, f"{base}/{LAP_WINDOWS}", T.StructType.fromDDL(WINDOWS)), commits
-    ).join(ready, "race_id", "left_semi")
-    bronze = gold.bronze_union(_bronze(decoded, contracts, ready), windows, coverage)
-    layer_table_sink(bronze, f"{base}/{BRONZE_EVENTS}")
-
-    stored_laps = spark.read.parquet(f"{base}/{SILVER_LAPS}").join(ready, "race_id", "left_semi")
-    stops = spark.read.parquet(f"{base}/{SILVER_STOPS}").join(ready, "race_id", "left_semi")
-    classified = gold.classification(
-        stored_final, laps.valid_lap_stats(stored_laps), laps.pit_stop_counts(stops)
-    )
-    layer_table_sink(classified, f"{base}/{GOLD_CLASSIFICATION}")
-    stored_gold = (
-        spark.read.schema(T.StructType.fromDDL(gold.CLASSIFICATION))
-        .parquet(f"{base}/{GOLD_CLASSIFICATION}")
-        .join(ready, "race_id", "left_semi")
-    )
-    summaries = gold.gold_summary_json(stored_gold).select("race_id", F.col("json").alias("value"))
-    (
-        summaries.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("race_id")
-        .text(f"{base}/{GOLD_SUMMARY}")
+    chosen = gold.lap_source_choice(coverage, facts, raw.join(ready, "race_id", "left_semi"))
+    stored_laps = write(chosen, SILVER_LAPS)
+    stops = write(events("pitstop", ready), SILVER_STOPS)
+    bronze = _bronze(decoded, contracts).join(ready, "race_id", "left_semi")
+    write(gold.bronze_union(bronze, incremental(LAP_WINDOWS, WINDOWS), coverage), BRONZE_EVENTS)
+
+    classified = write(
+        gold.classification(final, laps.valid_lap_stats(stored_laps), laps.pit_stop_counts(stops)),
+        GOLD_CLASSIFICATION,
     )
+    summaries = write(gold.gold_summary_json(classified), GOLD_SUMMARY)
+    write(summaries.agg(F.count("*").alias("races")), GOLD_COMMITS)
     return ready
 
 
-def _bronze(decoded, contracts: Contracts, ready: DataFrame) -> DataFrame:
+def _bronze(decoded: Callable[[str], DataFrame], contracts: Contracts) -> DataFrame:
     """Minimum columns of every topic: one pass over the archive, a branch per topic folder."""
     branches = [
         bronze_projection(decoded(topic)) for topic in TOPICS.values() if topic in contracts
@@ -147,4 +162,4 @@ def _bronze(decoded, contracts: Contracts, ready: DataFrame) -> DataFrame:
     merged = branches[0]
     for branch in branches[1:]:
         merged = merged.unionByName(branch)
-    return merged.join(ready, "race_id", "left_semi")
+    return merged
