@@ -73,6 +73,7 @@ def main() -> None:
         _run(registered[name](spark, folder))
         seconds[name] = round(time.perf_counter() - start, 3)
     rows = Tables(spark, folder)("lineitem").count()
+    crossings = Tables(spark, folder)("timing").count()
     scale = folder.rstrip("/").rsplit("sf", 1)[-1]
     line = {
         "metric": "headline_query_seconds",
@@ -81,6 +82,12 @@ def main() -> None:
         "queries": seconds,
         "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
         "lap_records": rows,
+        "timing_events": crossings,
+        "timing_events_per_second": {
+            name: round(crossings / seconds[name])
+            for name in ("complete_laps", "split_progression", "gaps", "car_analytics")
+            if name in seconds
+        },
     }
     spark.stop()
     print(json.dumps(line))

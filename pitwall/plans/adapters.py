@@ -229,9 +229,9 @@ _VIEWS = {
                CASE WHEN lap_time_ms % 50 = 0 THEN '{}'
                     ELSE concat('{"lap":', CAST(lap AS STRING), '}') END AS payload
         FROM laps""",
-    "outbox": f"""
+    "outbox": """
         SELECT kafka_offset AS id, event_id, race_id FROM laps
-        WHERE lap = 1 AND {_RACE_NUMBER} % 7 = 0""",
+        WHERE lap <= 2 AND neutralized AND NOT valid""",
     # planned scenarios, some invalid, some repeated
     "incident_plan": f"""
         SELECT race_id, CASE lap_time_ms % 3 WHEN 0 THEN 'collision' WHEN 1 THEN 'tire_puncture'

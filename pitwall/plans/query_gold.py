@@ -224,11 +224,11 @@ def _(t):
 @query(
     "outbox_pending",
     """SELECT o.id, o.event_id, o.race_id FROM outbox o
-       WHERE NOT EXISTS (SELECT 1 FROM laps l WHERE l.kafka_offset = o.id AND l.valid)
+       WHERE NOT EXISTS (SELECT 1 FROM laps l WHERE l.kafka_offset = o.id AND l.team_id = 'TEAM-A-01')
        ORDER BY o.id, o.event_id LIMIT 300""",
 )
 def _(t):
-    delivered = t("laps").filter("valid").select(F.col("kafka_offset").alias("id"))
+    delivered = t("laps").filter("team_id = 'TEAM-A-01'").select(F.col("kafka_offset").alias("id"))
     return lifecycle.outbox_pending(t("outbox"), delivered)
 
 
