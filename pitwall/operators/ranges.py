@@ -20,6 +20,8 @@ IS_ROW = "_is_row"
 # Default slice widths, in units of the ordering column.  A clock slice spans several laps, so the
 # seed rows of a car are few beside its crossings; denser races may use narrower slices.
 CLOCK_SLICE_US = 600_000_000
+# Counting leaves one seed row per race and slice, so its slices can be narrow.
+COUNT_SLICE_US = 10_000_000
 SNAPSHOT_SLICE = 512
 POSITION_SLICE = 512
 
