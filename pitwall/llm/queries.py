@@ -5,13 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from pitwall.llm import bpe, quality_rules, token_counts
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pitwall.llm import (
+    bpe,
+    decontamination,
+    oracles,
+    quality_rules,
+    simhash,
+    token_counts,
+    url_filters,
+)
 from pitwall.llm.common import bounded_batches
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: First day of the year in which the pages count as fetched.
+YEAR = "2024-01-01"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,16 +41,83 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), PIECE_MODEL)
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every document and of the decoded bytes."""
     docs = table(spark, folder, "documents")
     return bpe.round_trip(docs, BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def url_entries(captures: DataFrame) -> DataFrame:
+    """A dated list (pattern, action, since) made from the hosts of the captures.
+
+    The shared tables have no filter list. Digests of hosts, parent domains and first path parts
+    decide which of them are listed, and on which days of 2024 they come and go.
+    """
+
+    def dated(source: DataFrame, action: str, listed: Column, day: Column) -> DataFrame:
+        number = F.conv(F.substring(F.md5("pattern"), 1, 6), 16, 10).cast("long")
+        return source.withColumn("v", number).filter(listed).select(
+            "pattern",
+            F.lit(action).alias("action"),
+            F.date_add(F.lit(YEAR).cast("date"), day.cast("int")).alias("since"),
+        )
+
+    v = F.col("v")
+    host = url_filters.host_of(F.col("url"))
+    first = url_filters.path_of(F.col("url"), 1)
+    hosts = captures.select(host.alias("pattern")).filter("pattern IS NOT NULL").distinct()
+    paths = (
+        captures.select(host.alias("host"), first.alias("first"))
+        .filter("host IS NOT NULL AND size(first) > 0")
+        .select(F.concat_ws("/", "host", F.col("first")[0]).alias("pattern"))
+        .distinct()
+    )
+    parents = (
+        hosts.filter(F.col("pattern").contains("."))
+        .select(F.regexp_replace("pattern", r"^[^.]*[.]", "").alias("pattern"))
+        .distinct()
+    )
+    return (
+        dated(hosts, "block", v % 3 == 0, v % 300)
+        .union(dated(hosts, "remove", v % 6 == 0, v % 300 + 10 + v % 60))
+        .union(dated(hosts, "block", v % 12 == 0, v % 300 + 90))
+        .union(dated(paths, "allow", v % 4 == 1, v % 350))
+        .union(dated(parents, "block", v % 5 == 0, v % 350))
+    )
+
+
+def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict of every page by the entries that were active when it was fetched."""
+    captures = table(spark, folder, "pages").select(
+        "page_id",
+        "url",
+        F.date_add(F.lit(YEAR).cast("date"), (F.col("page_id") % 366).cast("int")).alias("fetched"),
+    )
+    intervals = url_filters.validity_intervals(url_entries(captures))
+    return url_filters.filter_urls(captures, intervals)
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark words and items found in every document."""
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontamination.contamination(docs, benchmark).drop("n_near")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
+    "op4_simhash": op4_simhash,
     "op5_byte_bpe": op5_byte_bpe,
+    "op9_url_filters": op9_url_filters,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_url_filters": oracles.URL_FILTERS,
+    "op10_decontamination": oracles.DECONTAMINATION,
+}
