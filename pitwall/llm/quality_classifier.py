@@ -146,7 +146,7 @@ def train(
     label: str = "quality",
     rows: int = 8_000,
     least_docs: int = 10,
-    most_features: int = 30_000,
+    most_features: int = 20_000,
     penalty: float = 0.05,
     rounds: int = 30,
 ) -> Model:

@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from pitwall.llm import (
     bpe,
     decontamination,
+    html_extract,
     oracles,
+    quality_classifier,
     quality_rules,
+    secret_scan,
     simhash,
     token_counts,
+    toxicity,
     url_filters,
 )
 from pitwall.llm.common import bounded_batches
@@ -41,6 +45,12 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), PIECE_MODEL)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.toxicity_scores(docs, labels)
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -52,6 +62,22 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(docs, BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.scan_texts(table(spark, folder, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality_classifier.quality_scores(docs, labels)
+
+
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.main_text(table(spark, folder, "pages"))
+
+
 def url_entries(captures: DataFrame) -> DataFrame:
     """A dated list (pattern, action, since) made from the hosts of the captures.
 
@@ -111,8 +137,12 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_secret_scans": op6_secret_scans,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_html_extraction": op8_html_extraction,
     "op9_url_filters": op9_url_filters,
     "op10_decontamination": op10_decontamination,
 }

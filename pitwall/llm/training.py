@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -24,19 +25,32 @@ class Rows:
     ids: np.ndarray
     starts: np.ndarray
 
-    @property
-    def lengths(self) -> np.ndarray:
-        """Number of features of each row."""
-        return np.diff(np.append(self.starts, len(self.ids)))
+    @cached_property
+    def owner(self) -> np.ndarray:
+        """Row of each entry of ``ids``."""
+        lengths = np.diff(np.append(self.starts, len(self.ids)))
+        return np.repeat(np.arange(len(self.labels)), lengths)
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         """Sum of the weights of each row."""
-        owner = np.repeat(np.arange(len(self.labels)), self.lengths)
-        return np.bincount(owner, weights[self.ids], len(self.labels))
+        return np.bincount(self.owner, weights[self.ids], len(self.labels))
 
     def spread(self, values: np.ndarray) -> np.ndarray:
         """Sum over rows of the row's value for each feature."""
-        return np.bincount(self.ids, np.repeat(values, self.lengths), len(self.vocabulary))
+        return np.bincount(self.ids, values[self.owner], len(self.vocabulary))
+
+    def only(self, features: np.ndarray) -> Rows:
+        """The same rows over some of the features."""
+        number = np.full(len(self.vocabulary), -1)
+        number[features] = np.arange(len(features))
+        kept = number[self.ids] >= 0
+        lengths = np.bincount(self.owner[kept], minlength=len(self.labels))
+        return Rows(
+            [self.vocabulary[i] for i in features],
+            self.labels,
+            number[self.ids[kept]],
+            np.cumsum(lengths) - lengths,
+        )
 
 
 def labelled_sample(
@@ -80,18 +94,39 @@ def indicator_rows(
     sample: DataFrame, features: Features, *, least_docs: int, most_features: int,
     always: tuple[str, ...] = (),
 ) -> Rows:
-    """Rows over the ``most_features`` most frequent features of at least ``least_docs`` texts.
+    """Rows over the ``most_features`` features that go most with the label.
 
-    Features named in ``always`` are in the vocabulary in any case.
+    Features of fewer than ``least_docs`` texts are left out; the others are ordered by the
+    gradient of their weight in a model without any (share of label 1 among their texts against
+    that of all texts, times their number). Features named in ``always`` are in any case.
     """
-    listed = per_text({"found": "array<string>"}, lambda: lambda data: (sorted(features(data)),))
+
+    def count(batches):
+        import pyarrow as pa
+
+        seen: dict[str, list[int]] = {}
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for label, data in zip(batch.column("label").to_pylist(), texts):
+                for feature in features(data or b""):
+                    own = seen.setdefault(feature, [0, 0])
+                    own[0] += 1
+                    own[1] += label
+        yield pa.RecordBatch.from_pydict(
+            {
+                "feature": pa.array(list(seen), pa.string()),
+                "n": pa.array([n for n, _ in seen.values()], pa.int64()),
+                "ones": pa.array([ones for _, ones in seen.values()], pa.int64()),
+            }
+        )
+
+    base = sample.agg(F.avg("label")).first()[0] or 0.0
     counted = (
-        sample.select(listed(F.col("text"))["found"].alias("found"))
-        .select(F.explode("found").alias("feature"))
+        sample.mapInArrow(count, "feature string, n long, ones long")
         .groupBy("feature")
-        .count()
-        .filter(F.col("count") >= least_docs)
-        .orderBy(F.desc("count"), "feature")
+        .agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
+        .filter(F.col("n") >= least_docs)
+        .orderBy(F.desc(F.abs(F.col("ones") - F.col("n") * F.lit(base))), "feature")
         .limit(most_features)
         .collect()  # at most ``most_features`` short rows
     )
