@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitwall.sources.storage import scratch
+
 #: Largest side, in rows, that an operator broadcasts after it has counted it.
 BROADCAST_ROWS = 500_000
 #: Rows of one Arrow batch; with texts of 100 kB a batch then holds some 25 MB.
@@ -70,3 +72,21 @@ def small_side(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """
     few = frame.limit(limit + 1).count() <= limit
     return F.broadcast(frame) if few else frame
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: cuts lineage, survives lost executors."""
+    path = scratch(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def without(docs: DataFrame, keys: DataFrame, key_columns: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` whose key is not among ``keys``, all columns as they are; null equals null.
+
+    ``key_columns`` gives the expression over ``docs`` of each column of ``keys``.
+    """
+    marked = docs.select("*", *[value.alias(f"_key_{name}") for name, value in key_columns.items()])
+    side = small_side(keys.select(*[F.col(name).alias(f"_not_{name}") for name in key_columns]))
+    same = [F.col(f"_key_{name}").eqNullSafe(F.col(f"_not_{name}")) for name in key_columns]
+    return marked.join(side, same, "left_anti").drop(*[f"_key_{name}" for name in key_columns])

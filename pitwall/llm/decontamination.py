@@ -11,11 +11,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import small_side
-from pitwall.sources.storage import scratch
+from pitwall.llm.common import small_side, without, written
 
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -53,7 +52,7 @@ def item_windows(
 
 def term_frequencies(docs: DataFrame, windows: DataFrame, *, text: str = "text") -> DataFrame:
     """(term, frequency) over all documents for every term of the windows that occurs."""
-    terms = _written(windows.select(F.explode("gram").alias("term")).distinct(), "terms")
+    terms = written(windows.select(F.explode("gram").alias("term")).distinct(), "terms")
     spoken = docs.select(F.explode_outer(words_of(F.col(text))).alias("term"))
     return (
         spoken.join(small_side(terms), "term", "left_semi")
@@ -140,37 +139,21 @@ def matches(index: DataFrame, windows: DataFrame, *, reach: int = WINDOW - 1 + S
     )
 
 
-def contamination(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    *,
-    text: str = "text",
-    doc_id: str = "doc_id",
-    item_text: str = "text",
-    item_id: str = "item_id",
-    window: int = WINDOW,
-    slop: int = SLOP,
-    block: int = BLOCK,
-) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near.
-
-    ``n_hit`` counts words inside an occurrence of a window, ``n_items`` the items with one and
-    ``n_near`` the items with at least a near match. Null texts have no words; items without words
-    have no window, and an item of fewer words than ``window`` is one window. Windows of items
-    without an id count as hits but name no item. Repeated rows stay repeated, repeated items count
-    once; other columns are not read. Beyond ``block`` windows the documents are read once more for
-    each further block of windows, so what is broadcast never grows.
-    """
+def _searched(
+    docs: DataFrame, benchmark: DataFrame, text: str, doc_id: str, item_text: str, item_id: str,
+    window: int, slop: int, block: int,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """A row for each document row, and the matches of each block of windows."""
     reach = window - 1 + slop
-    grams = _written(
+    grams = written(
         item_windows(benchmark, text=item_text, item_id=item_id, window=window), "windows"
     )
-    known = _written(anchored(grams, term_frequencies(docs, grams, text=text)), "anchors")
+    known = written(anchored(grams, term_frequencies(docs, grams, text=text)), "anchors")
     n_blocks = max(1, -(-known.count() // block))
     found = []
     for number in range(n_blocks):
         part = known.filter(F.pmod(F.xxhash64("gram"), F.lit(n_blocks)) == number)
-        index = _written(
+        index = written(
             positional_index(
                 docs, part.select("term").distinct(), text=text, doc_id=doc_id, reach=reach
             ),
@@ -188,6 +171,53 @@ def contamination(
                 *[F.lit(None).cast(kinds[name].dataType).alias(name)
                   for name in ("begin", "n", "items", "exact")],
             )
+    return rows, found
+
+
+def clean_documents(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    item_text: str = "text",
+    item_id: str = "item_id",
+    window: int = WINDOW,
+    block: int = BLOCK,
+) -> DataFrame:
+    """Rows of ``docs`` in which no window of the benchmark occurs, with all columns."""
+    _, found = _searched(
+        docs, benchmark, text, doc_id, item_text, item_id, window, 0, block
+    )
+    hit = reduce(DataFrame.union, found).filter("exact").select("doc_id", "digest").distinct()
+    key = {"doc_id": F.col(doc_id), "digest": F.xxhash64(F.col(text))}
+    return without(docs, written(hit, "contaminated"), key)
+
+
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    item_text: str = "text",
+    item_id: str = "item_id",
+    window: int = WINDOW,
+    slop: int = SLOP,
+    block: int = BLOCK,
+) -> DataFrame:
+    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near.
+
+    ``n_hit`` counts words inside an occurrence of a window, ``n_items`` the items with one and
+    ``n_near`` the items with at least a near match. Null texts have no words; items without words
+    have no window, and an item of fewer words than ``window`` is one window. Windows of items
+    without an id count as hits but name no item. Repeated rows stay repeated, repeated items count
+    once; other columns are not read. Beyond ``block`` windows the documents are read once more for
+    each further block of windows, so what is broadcast never grows.
+    """
+    rows, found = _searched(
+        docs, benchmark, text, doc_id, item_text, item_id, window, slop, block
+    )
     hit = F.when(F.col("exact"), F.struct("begin", "n"))
     spans = F.flatten(
         F.transform("spans", lambda s: F.sequence(s["begin"], s["begin"] + s["n"] - 1))
@@ -216,10 +246,3 @@ def contamination(
         )
         .drop("copy")
     )
-
-
-def _written(frame: DataFrame, name: str) -> DataFrame:
-    spark: SparkSession = frame.sparkSession
-    path = scratch(spark, name)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)

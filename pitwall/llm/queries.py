@@ -27,6 +27,7 @@ PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: First day of the year in which the pages count as fetched.
 YEAR = "2024-01-01"
+PATTERN = public_tokenizers.PATTERN
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,7 +60,7 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every document and of the decoded bytes."""
     docs = table(spark, folder, "documents")
-    return bpe.round_trip(docs, BYTE_RANKS, public_tokenizers.PATTERN)
+    return bpe.round_trip(docs, BYTE_RANKS, PATTERN)
 
 
 def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:

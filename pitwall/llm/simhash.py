@@ -20,11 +20,10 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import per_text
-from pitwall.sources.storage import scratch
+from pitwall.llm.common import per_text, small_side, without, written
 
 #: Widths of the segments, lowest bits first, and their first bits.
 WIDTHS = (22, 21, 21)
@@ -150,13 +149,32 @@ def fingerprint(data: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id`` and ``fp`` (long) of every row."""
+    """``doc_id``, ``digest`` (a hash of the text) and ``fp`` (long) of every row, stored."""
     hashed = per_text({"fp": "long"}, lambda: lambda data: (fingerprint(data),))
-    return docs.select(F.col(doc_id).alias("doc_id"), hashed(F.col(text)).alias("_hash")).select(
-        "doc_id", "_hash.fp"
+    return written(
+        docs.select(
+            F.col(doc_id).alias("doc_id"),
+            F.xxhash64(F.col(text)).alias("digest"),
+            hashed(F.col(text)).alias("_hash"),
+        ).select("doc_id", "digest", "_hash.fp"),
+        "fingerprints",
     )
 
 
+def fingerprint_classes(hashed: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint, stored.
+
+    ``root`` is the smallest fingerprint of the component, ``component_id`` its smallest doc_id.
+    """
+    nodes = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "nodes")
+    roots = components(spanning_forest(links(nodes)))
+    placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "smallest", F.coalesce("root", "fp").alias("root")
+    )
+    named = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    return written(placed.join(named, "root").select("fp", "root", "component_id"), "classes")
+
+
 def hexadecimal(fp: Column) -> Column:
     """16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
@@ -232,22 +250,15 @@ def components(pairs: DataFrame) -> DataFrame:
     table, so lost executors cost one round at most. Neighbourhoods are reduced by aggregates and
     joins, never gathered.
     """
-    spark = pairs.sparkSession
-    edges = _written(spark, pairs.select("low", "high").distinct(), "edges")
+    edges = written(pairs.select("low", "high").distinct(), "edges")
     state = _state(edges)
     while True:
-        edges = _written(spark, _small_star(_large_star(edges)), "edges")
+        edges = written(_small_star(_large_star(edges)), "edges")
         before, state = state, _state(edges)
         if state == before:
             return edges.select(F.col("high").alias("node"), F.col("low").alias("root"))
 
 
-def _written(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
-    path = scratch(spark, name)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
 def _state(edges: DataFrame) -> tuple:
     """Count and order-free digest of the links."""
     mixed = F.xxhash64("low", "high")
@@ -289,17 +300,37 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     their fingerprint and never name one (null if no row of it has an id). Repeated rows stay
     repeated; other columns are not read.
     """
-    spark = docs.sparkSession
-    hashed = _written(spark, fingerprints(docs, text=text, doc_id=doc_id), "fingerprints")
-    nodes = _written(
-        spark, hashed.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "nodes"
-    )
-    roots = components(spanning_forest(links(nodes)))
-    placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "smallest", F.coalesce("root", "fp").alias("root")
-    )
-    named = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    classes = _written(spark, placed.join(named, "root").select("fp", "component_id"), "classes")
-    return hashed.join(classes, "fp").select(
+    hashed = fingerprints(docs, text=text, doc_id=doc_id)
+    return hashed.join(fingerprint_classes(hashed), "fp").select(
         "doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row of each component of near duplicates, with all columns.
+
+    The row with the smallest doc_id stays (rows without an id come last); of several texts under
+    that id the one with the smallest hash, and of equal rows any one.
+    """
+    hashed = fingerprints(docs, text=text, doc_id=doc_id)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
+    placed = hashed.join(fingerprint_classes(hashed), "fp").select("root", order.alias("row"))
+    best = placed.groupBy("root").agg(F.min("row").alias("best"), F.count("*").alias("n"))
+    judged = written(
+        placed.join(best.filter("n > 1"), "root")
+        .groupBy("row.doc_id", "row.digest")
+        .agg(F.first(F.col("row") == F.col("best")).alias("stays"), F.count("*").alias("n")),
+        "judged",
+    )
+    key = {"doc_id": F.col(doc_id), "digest": F.xxhash64(F.col(text))}
+    kept = without(docs, judged.filter("NOT stays"), key)
+    repeated = judged.filter("stays AND n > 1")
+    if not repeated.limit(1).count():
+        return kept
+    # Rows that stay and are repeated: only these are shuffled to be reduced to one each.
+    names = [f"_key_{name}" for name in key]
+    marked = kept.select("*", *[value.alias(f"_key_{name}") for name, value in key.items()])
+    twice = small_side(repeated.select(*[F.col(n).alias(f"_not_{n}") for n in key]))
+    same = [F.col(f"_key_{n}").eqNullSafe(F.col(f"_not_{n}")) for n in key]
+    single = marked.join(twice, same, "left_semi").dropDuplicates(names).drop(*names)
+    return without(kept, repeated, key).unionByName(single)

@@ -7,11 +7,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import held_out, per_text
-from pitwall.sources.storage import scratch
+from pitwall.llm.common import held_out, per_text, written
 
 Features = Callable[[bytes], set[str]]
 
@@ -84,10 +83,7 @@ def labelled_sample(
         .groupBy("doc_id", "label")
         .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     )
-    spark: SparkSession = docs.sparkSession
-    path = scratch(spark, f"sample-{label}")
-    texts.select("label", "text").write.parquet(path)
-    return spark.read.parquet(path)
+    return written(texts.select("label", "text"), "sample")
 
 
 def indicator_rows(

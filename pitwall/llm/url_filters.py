@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import small_side
-from pitwall.sources.storage import scratch
+from pitwall.llm.common import small_side, written
 
 #: A day after all entries: the end of intervals that are still open.
 FOREVER = "9999-12-31"
@@ -96,10 +95,7 @@ def filter_urls(
     hosts, and the verdict is joined back to all of them. Repeated rows stay repeated; other
     columns are not read.
     """
-    spark = captures.sparkSession
-    path = scratch(spark, "intervals")
-    intervals.write.parquet(path)
-    stored = spark.read.schema(intervals.schema).parquet(path)
+    stored = written(intervals, "intervals")
     # Patterns deeper than any in the list need not be formed.
     depth = stored.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
 
