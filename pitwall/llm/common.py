@@ -81,12 +81,29 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _matched(
+    docs: DataFrame, keys: DataFrame, key_columns: dict[str, Column], how: str
+) -> DataFrame:
+    """Rows of ``docs`` packed as ``row`` beside their key, joined by key; null equals null."""
+    # Packed, the columns of the input cannot clash with those of the key.
+    packed = docs.select(
+        F.struct("*").alias("row"),
+        *[value.alias(f"key_{name}") for name, value in key_columns.items()],
+    )
+    side = small_side(keys.select(*[F.col(name).alias(f"is_{name}") for name in key_columns]))
+    same = [F.col(f"key_{name}").eqNullSafe(F.col(f"is_{name}")) for name in key_columns]
+    return packed.join(side, same, how)
+
+
 def without(docs: DataFrame, keys: DataFrame, key_columns: dict[str, Column]) -> DataFrame:
-    """Rows of ``docs`` whose key is not among ``keys``, all columns as they are; null equals null.
+    """Rows of ``docs`` whose key is not among ``keys``, with all columns; null equals null.
 
     ``key_columns`` gives the expression over ``docs`` of each column of ``keys``.
     """
-    marked = docs.select("*", *[value.alias(f"_key_{name}") for name, value in key_columns.items()])
-    side = small_side(keys.select(*[F.col(name).alias(f"_not_{name}") for name in key_columns]))
-    same = [F.col(f"_key_{name}").eqNullSafe(F.col(f"_not_{name}")) for name in key_columns]
-    return marked.join(side, same, "left_anti").drop(*[f"_key_{name}" for name in key_columns])
+    return _matched(docs, keys, key_columns, "left_anti").select("row.*")
+
+
+def one_of_each(docs: DataFrame, keys: DataFrame, key_columns: dict[str, Column]) -> DataFrame:
+    """One row of ``docs`` for each key among ``keys``, with all columns."""
+    matched = _matched(docs, keys, key_columns, "left_semi")
+    return matched.dropDuplicates([f"key_{name}" for name in key_columns]).select("row.*")

@@ -76,6 +76,7 @@ def symbol(octet: int) -> int:
 
 #: Characters of a class, for the likelihood of one of them.
 _CLASS_SIZE = {-1: 10, -2: 26, -3: 26}
+UNSEEN = 1e-3
 
 
 class Automaton:
@@ -94,6 +95,7 @@ class Automaton:
         self.total: list[int] = [0]
         for value in values:
             self._insert(value)
+        self.alphabet = {mark for seen in self.seen for mark in seen if mark < 0 or mark in b"+/_.=-"}
         self._merge_states()
 
     def read(self, value: bytes) -> list[int]:
@@ -177,17 +179,23 @@ class Automaton:
         self.states = len(kept)
 
     def log_likelihood(self, value: bytes) -> float:
-        """Natural logarithm of the probability of the value; minus infinity if it has none."""
+        """Natural logarithm of the probability of the value; minus infinity if it has none.
+
+        Behind the literal beginning, a known symbol that a state has not seen, and an unseen end,
+        have the probability ``UNSEEN``; the state then stays.
+        """
         state, total = 0, 0.0
-        for mark in self.read(value):
+        for i, mark in enumerate(self.read(value)):
             times = self.seen[state].get(mark, 0)
-            if not times:
+            if times:
+                total += math.log(times / self.total[state])
+                state = self.next[state][mark]
+            elif i >= self.literal and mark in self.alphabet:
+                total += math.log(UNSEEN)
+            else:
                 return -math.inf
-            total += math.log(times / self.total[state] / _CLASS_SIZE.get(mark, 1))
-            state = self.next[state][mark]
-        if not self.ends[state]:
-            return -math.inf
-        return total + math.log(self.ends[state] / self.total[state])
+            total -= math.log(_CLASS_SIZE.get(mark, 1))
+        return total + math.log(max(UNSEEN, self.ends[state] / self.total[state]))
 
 
 def learn(credentials: Iterable[tuple[str, str]], alpha: float = 0.05) -> dict[str, Automaton]:

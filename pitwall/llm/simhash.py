@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import per_text, small_side, without, written
+from pitwall.llm.common import one_of_each, per_text, without, written
 
 #: Widths of the segments, lowest bits first, and their first bits.
 WIDTHS = (22, 21, 21)
@@ -327,10 +327,5 @@ def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") ->
     repeated = judged.filter("stays AND n > 1")
     if not repeated.limit(1).count():
         return kept
-    # Rows that stay and are repeated: only these are shuffled to be reduced to one each.
-    names = [f"_key_{name}" for name in key]
-    marked = kept.select("*", *[value.alias(f"_key_{name}") for name, value in key.items()])
-    twice = small_side(repeated.select(*[F.col(n).alias(f"_not_{n}") for n in key]))
-    same = [F.col(f"_key_{n}").eqNullSafe(F.col(f"_not_{n}")) for n in key]
-    single = marked.join(twice, same, "left_semi").dropDuplicates(names).drop(*names)
-    return without(kept, repeated, key).unionByName(single)
+    # Only rows that stay and are repeated are shuffled to be reduced to one each.
+    return without(kept, repeated, key).unionByName(one_of_each(kept, repeated, key))

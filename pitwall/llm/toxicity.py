@@ -110,7 +110,7 @@ def fit(
         moved = ahead - step * gradient
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * sparsity, 0.0)
         new_bias = ahead_bias - step * error.sum()
-        if np.abs(new - weights).max() < 1e-5 and abs(new_bias - bias) < 1e-5:
+        if np.abs(new - weights).max(initial=0.0) < 1e-5 and abs(new_bias - bias) < 1e-5:
             return new, new_bias
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         pull = (momentum - 1) / following

@@ -32,11 +32,11 @@ class Rows:
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         """Sum of the weights of each row."""
-        return np.bincount(self.owner, weights[self.ids], len(self.labels))
+        return np.bincount(self.owner, weights[self.ids], len(self.labels)).astype(float)
 
     def spread(self, values: np.ndarray) -> np.ndarray:
         """Sum over rows of the row's value for each feature."""
-        return np.bincount(self.ids, values[self.owner], len(self.vocabulary))
+        return np.bincount(self.ids, values[self.owner], len(self.vocabulary)).astype(float)
 
     def only(self, features: np.ndarray) -> Rows:
         """The same rows over some of the features."""
