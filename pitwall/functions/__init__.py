@@ -14,7 +14,6 @@ from pitwall.functions.track import (
     corner_radius_at,
     corner_speed_limit,
     grip_lookup,
-    known_lines,
     track_column,
     track_lines,
 )
@@ -29,7 +28,6 @@ __all__ = [
     "format_gap",
     "format_lap_time",
     "grip_lookup",
-    "known_lines",
     "lap_time_estimate",
     "medal",
     "split_color",

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.functions.track import known_lines, track_lines
+from pitwall.functions.track import track_column, track_lines
 from pitwall.operators import ranges
 
 CAR = ["race_id", "car_id"]
@@ -28,9 +28,9 @@ def crossing_times(
     A step may pass several lines; the first sample of a car passes none.  ``track`` is one known
     track, or a constant track column.
     """
-    is_column = isinstance(track, Column)
-    lines = track_lines(track) if is_column else known_lines(track)
-    length = track["length_m"] if is_column else F.lit(track["length_m"])
+    lines, length = _constants(
+        samples, track if isinstance(track, Column) else track_column(dict(track))
+    )
     rows = ranges.with_slice(
         samples.select(*CAR, "simulation_time_us", "distance_m"), "simulation_time_us", slice_us
     )
@@ -50,20 +50,21 @@ def crossing_times(
 
     first_lap = F.greatest(F.lit(0), F.floor(F.col("_from_m") / length)).cast("int")
     last_lap = F.floor(F.col("distance_m") / length).cast("int")
-    # The laps touched by a step and the lines of a lap are both short, so each step fans out to
-    # a few candidate lines, of which those inside the step remain.
-    candidates = (
+
+    def passed(line: Column) -> Column:
+        boundary = (F.col("_lap") + line["fraction"]) * length
+        return (F.col("_from_m") < boundary) & (boundary <= F.col("distance_m"))
+
+    # Lines are picked inside the array, so only those that a step passed become rows.
+    crossed = (
         steps.filter(last_lap >= first_lap)
         .withColumn("_lap", F.explode(F.sequence(first_lap, last_lap)))
-        .select("*", F.inline(lines))
+        .select("*", F.inline(F.filter(lines, passed)))
         .withColumn("_boundary_m", (F.col("_lap") + F.col("fraction")) * length)
     )
-    passed = (F.col("_from_m") < F.col("_boundary_m")) & (
-        F.col("_boundary_m") <= F.col("distance_m")
-    )
     share = (F.col("_boundary_m") - F.col("_from_m")) / (F.col("distance_m") - F.col("_from_m"))
     at_us = F.col("_from_us") + share * (F.col("simulation_time_us") - F.col("_from_us"))
-    return candidates.filter(passed).select(
+    return crossed.select(
         *CAR,
         (F.col("_lap") + 1).alias("lap"),
         "checkpoint_id",
@@ -72,6 +73,15 @@ def crossing_times(
     )
 
 
+def _constants(samples: DataFrame, track: Column) -> tuple[Column, Column]:
+    """Timing lines and length of one track, worked out once and put into the plan as values."""
+    row = samples.sparkSession.range(1).select(track_lines(track), track["length_m"]).first()
+    lines = F.array(
+        *[F.struct(*[F.lit(v).alias(k) for k, v in line.asDict().items()]) for line in row[0]]
+    )
+    return lines, F.lit(row[1])
+
+
 def safety_car_periods(incidents: DataFrame) -> DataFrame:
     """Neutralised periods per race; the last one may still be open (null end)."""
     marks = incidents.filter(F.col("reason").isin(PERIOD_START, PERIOD_END)).select(
@@ -91,21 +101,26 @@ def neutralized_crossings(
 ) -> DataFrame:
     """Crossings inside a safety-car period (start included, end not).
 
-    Closed periods are listed once per clock slice they touch, so the range condition is checked
-    after an equi-join on race and slice; periods of a race never overlap.
+    Periods are listed once per clock slice they touch, so the range condition is checked after an
+    equi-join on race and slice; periods of a race never overlap. An open period ends behind the
+    last crossing of its race.
     """
-    periods = safety_car_periods(incidents)
+    last = timing.groupBy("race_id").agg((F.max("simulation_time_us") + 1).alias("_last"))
+    periods = (
+        safety_car_periods(incidents)
+        .join(last, "race_id")
+        .withColumn("end_us", F.coalesce("end_us", "_last"))
+        .filter(F.col("end_us") > F.col("start_us"))
+    )
 
     def slice_of(column: str) -> Column:
         return F.floor(F.col(column) / F.lit(slice_us)).cast("bigint")
 
-    closed = (
-        periods.filter(F.col("end_us").isNotNull())
-        .withColumn("_s", F.explode(F.sequence(slice_of("start_us"), slice_of("end_us"))))
-        .withColumnsRenamed({"race_id": "_r", "start_us": "_from", "end_us": "_to"})
-    )
-    still_open = periods.filter(F.col("end_us").isNull()).select(
-        "race_id", F.col("start_us").alias("_open_from")
+    listed = periods.select(
+        F.col("race_id").alias("_r"),
+        F.col("start_us").alias("_from"),
+        F.col("end_us").alias("_to"),
+        F.explode(F.sequence(slice_of("start_us"), slice_of("end_us"))).alias("_s"),
     )
     clock = F.col("simulation_time_us")
     inside = (
@@ -116,9 +131,7 @@ def neutralized_crossings(
     )
     return (
         ranges.with_slice(timing, "simulation_time_us", slice_us)
-        .join(closed, inside, "left")
-        .join(still_open, "race_id", "left")
-        .filter(F.col("_from").isNotNull() | (clock >= F.col("_open_from")))
+        .join(listed, inside, "left_semi")
         .select(*timing.columns)
     )
 

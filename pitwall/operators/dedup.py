@@ -13,8 +13,11 @@ BROKER_ORDER = ("kafka_partition", "kafka_offset")
 
 
 def _order(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Columns that decide which copy stays; without any the survivor would be arbitrary."""
     known = [F.col(name) for name in names if name in df.columns]
-    return known or [F.lit(1)]
+    if not known:
+        raise ValueError(f"none of the ordering columns {list(names)} is in {df.columns}")
+    return known
 
 
 def dedup_event_id(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pitwall.functions.text import country_flag, medal, trophy
 from pitwall.operators.dedup import dedup_event_id
 from pitwall.operators.laps import fact_lap_counts
-from pitwall.operators.ranges import keep_first
+from pitwall.operators.ranges import keep_first, tie_break
 
 CAR = ["race_id", "car_id"]
 IDENTITY = ["driver_id", "driver_name", "driver_country_code", "team_id"]
@@ -124,8 +124,8 @@ def bronze_union(
 
 
 def latest_analytics(online: DataFrame) -> DataFrame:
-    """Newest revision of the online summary per race and car."""
-    return keep_first(online, CAR, [F.col("revision").desc()])
+    """Newest revision of the online summary per race and car; of equal ones the last offset."""
+    return keep_first(online, CAR, [F.col("revision").desc(), tie_break(online).desc()])
 
 
 def consumer_parity(stats: DataFrame, online: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +95,33 @@ def _sector_time(number: int) -> Column:
     return F.max(F.when(F.col("sector") == number, F.col("sector_time_ms")))
 
 
+def lap_aggregates(carried: Sequence[str]) -> list[Column]:
+    """What the crossings of a lap say together; ``carried`` columns come from its finish line.
+
+    All parts can be merged in any order, and repeated crossings do not change them.
+    """
+    finish = F.col("checkpoint_id") == "SF"
+    return [
+        *[F.min(F.when(finish, F.col(name))).alias(name) for name in carried],
+        F.max(F.when(finish, F.col("lap_elapsed_ms"))).alias("lap_time_ms"),
+        F.bool_or(F.when(finish, F.col("pit_lap"))).alias("pit_lap"),
+        F.bool_and(F.when(finish, F.col("valid"))).alias("_finish_valid"),
+        F.bool_or("neutralized").alias("neutralized"),
+        *[_sector_time(number).alias(f"_sector_{number}") for number in (1, 2, 3)],
+    ]
+
+
+def whole_laps(grouped: DataFrame) -> DataFrame:
+    """Laps with a finish time and three sector times, from the aggregates of their crossings."""
+    parts = ["_sector_1", "_sector_2", "_sector_3"]
+    return (
+        grouped.dropna(subset=["lap_time_ms", *parts])
+        .withColumn("sectors_ms", F.array(*parts))
+        .withColumn("valid", F.col("_finish_valid") & ~F.col("neutralized"))
+        .drop("_finish_valid", *parts)
+    )
+
+
 def complete_laps(timing: DataFrame, target_laps: DataFrame | None = None) -> DataFrame:
     """Laps whose finish line and three sectors have all been seen, in any order.
 
@@ -100,34 +129,12 @@ def complete_laps(timing: DataFrame, target_laps: DataFrame | None = None) -> Da
     Replayed crossings do not change the result; of a finish reported under several ids the
     lowest id is kept.
     """
-    finish = F.col("checkpoint_id") == "SF"
-
-    def at_finish(name: str) -> Column:
-        return F.min(F.when(finish, F.col(name))).alias(name)
-
     carried = [
         name
         for name in ("event_id", "team_id", "driver_id", "race_position", "simulation_time_us")
         if name in timing.columns
     ]
-    grouped = timing.groupBy("race_id", "car_id", "lap").agg(
-        *[at_finish(name) for name in carried],
-        F.max(F.when(finish, F.col("lap_elapsed_ms"))).alias("lap_time_ms"),
-        F.bool_or(F.when(finish, F.col("pit_lap"))).alias("pit_lap"),
-        F.bool_and(F.when(finish, F.col("valid"))).alias("_finish_valid"),
-        F.bool_or("neutralized").alias("neutralized"),
-        *[_sector_time(number).alias(f"_sector_{number}") for number in (1, 2, 3)],
-    )
-    sectors = [F.col(f"_sector_{number}") for number in (1, 2, 3)]
-    whole = F.col("lap_time_ms").isNotNull()
-    for sector in sectors:
-        whole = whole & sector.isNotNull()
-    laps = (
-        grouped.filter(whole)
-        .withColumn("sectors_ms", F.array(*sectors))
-        .withColumn("valid", F.col("_finish_valid") & ~F.col("neutralized"))
-        .drop("_finish_valid", "_sector_1", "_sector_2", "_sector_3")
-    )
+    laps = whole_laps(timing.groupBy("race_id", "car_id", "lap").agg(*lap_aggregates(carried)))
     following = F.col("lap") + 1
     if target_laps is None:
         return laps.withColumn("current_lap", following.cast("int"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.operators.ranges import keep_first
+from pitwall.operators.ranges import keep_first, tie_break
 
 CAR = ["race_id", "car_id"]
 # States in which a race is over, limits of one retention run, blank payload.
@@ -92,7 +92,8 @@ def available_cars_at_lap(cars: DataFrame, plan: DataFrame, lap: int) -> DataFra
 
 def _latest(df: DataFrame, sequence: str, name: str) -> DataFrame:
     fields = [column for column in df.columns if column != "race_id"]
-    return df.groupBy("race_id").agg(F.max_by(F.struct(*fields), sequence).alias(name))
+    order = F.struct(F.col(sequence), tie_break(df))
+    return df.groupBy("race_id").agg(F.max_by(F.struct(*fields), order).alias(name))
 
 
 def session_snapshot(
@@ -129,7 +130,7 @@ def coalesced_analytics(batch: DataFrame) -> DataFrame:
 
 def latest_wins_view(events: DataFrame, sequence: str = "state_sequence") -> DataFrame:
     """View in which an event older than the last seen sequence changes nothing."""
-    return keep_first(events, ["race_id"], [F.col(sequence).desc()])
+    return keep_first(events, ["race_id"], [F.col(sequence).desc(), tie_break(events).desc()])
 
 
 def car_dimension_join(facts: DataFrame, cars: DataFrame) -> DataFrame:

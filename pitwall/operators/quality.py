@@ -65,8 +65,12 @@ def validate_source_event(events: DataFrame) -> DataFrame:
     def only(name: str, condition: Column) -> Column:
         return ~kind.eqNullSafe(F.lit(name)) | _holds(condition)
 
+    def least(name: str, lowest: float) -> Column:
+        """A finite number of at least ``lowest``."""
+        return _finite(value(name)) & (value(name) >= lowest)
+
     sector = value("sector")
-    timed = (sector == 0) | (value("sector_time_ms") >= 0)
+    timed = (sector == 0) | least("sector_time_ms", 0)
     track_status = _column(events, "track_status", "string")
     rules = [
         (
@@ -74,14 +78,14 @@ def validate_source_event(events: DataFrame) -> DataFrame:
             (F.length(F.col("event_id")) > 0) & (F.length(F.col("race_id")) > 0),
         ),
         (NOT_A_SOURCE, kind.isin(*SOURCE_KINDS)),
-        (BAD_CLOCK, value("simulation_time_us") >= 0),
+        (BAD_CLOCK, least("simulation_time_us", 0)),
         (
             BAD_POSITION,
             only(
                 "telemetry",
                 value("track_progress").between(0, 1)
                 & (value("track_progress") < 1)
-                & (value("race_position") >= 1),
+                & least("race_position", 1),
             ),
         ),
         (BAD_TRACK_STATUS, only("telemetry", track_status.isin("green", "safety_car"))),
@@ -94,18 +98,18 @@ def validate_source_event(events: DataFrame) -> DataFrame:
         ),
         (
             NEGATIVE_SPLIT,
-            only("timing", (value("lap_elapsed_ms") >= 0) & (value("segment_time_ms") >= 0)),
+            only("timing", least("lap_elapsed_ms", 0) & least("segment_time_ms", 0)),
         ),
-        (BAD_SPLIT_POSITION, only("timing", value("race_position") >= 1)),
+        (BAD_SPLIT_POSITION, only("timing", least("race_position", 1))),
         (BAD_SECTOR, only("timing", sector.isin(0, 1, 2, 3))),
         (NO_SECTOR_TIME, only("timing", timed)),
         (
             BAD_PIT_STOP,
-            only("pitstop", (value("lap") >= 1) & (value("pit_stop_time_ms") >= 0)),
+            only("pitstop", least("lap", 1) & least("pit_stop_time_ms", 0)),
         ),
         (
             BAD_INCIDENT,
-            only("incident", (value("lap") >= 0) & (value("penalty_seconds") >= 0)),
+            only("incident", least("lap", 0) & least("penalty_seconds", 0)),
         ),
     ]
     return with_reasons(events, rules)
@@ -152,8 +156,11 @@ TELEMETRY_TIMES = ("event_time", "produced_at")
 
 
 def _between(value: Column, lowest: float, highest: float | None) -> Column:
+    """A finite number within bounds; a bound given as an integer asks for whole numbers."""
     number = value.try_cast("double")
-    inside = (number >= lowest) & ~F.isnan(number)
+    inside = (number >= lowest) & _finite(number)
+    if isinstance(lowest, int):
+        inside = inside & (number == F.floor(number))
     return inside if highest is None else inside & (number <= highest)
 
 
@@ -173,7 +180,7 @@ def validate_telemetry_contract(telemetry: DataFrame) -> DataFrame:
     for name, (lowest, highest) in TELEMETRY_BOUNDS.items():
         condition = _between(_column(telemetry, name), lowest, highest)
         if name == "track_progress":
-            condition = condition & (F.col(name) < 1)
+            condition = condition & (_column(telemetry, name) < 1)
         rules.append((name, condition))
     for name, lowest in TELEMETRY_OPTIONAL.items():
         value = _column(telemetry, name)

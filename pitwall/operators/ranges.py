@@ -36,6 +36,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def tie_break(df: DataFrame) -> Column:
+    """What decides between rows of one revision: the broker offset, else the row's content."""
+    return F.col("kafka_offset") if "kafka_offset" in df.columns else F.xxhash64(*df.columns)
+
+
 def keep_top(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows of each key, limited before the shuffle as in :func:`keep_first`."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -52,20 +52,21 @@ def _(t):
 
 @query(
     "dead_letter",
-    f"""SELECT 'dead_letter' AS kind, concat('erro:telemetry:', kafka_partition, ':', event_id)
-               AS event_id, race_id, 'telemetry' AS source_topic,
-               kafka_partition AS source_partition, kafka_offset AS source_offset, reason
-        FROM (SELECT *, {REASON} AS reason, CAST(race_position % 6 AS INT) AS kafka_partition,
-                     CAST(event_id AS BIGINT) AS kafka_offset
-              FROM source_events WHERE kind = 'telemetry') e
+    f"""SELECT 'dead_letter' AS kind,
+               concat('erro:', kind, ':', kafka_partition, ':', kafka_offset) AS event_id, race_id,
+               kind AS source_topic, kafka_partition AS source_partition,
+               kafka_offset AS source_offset, reason
+        FROM (SELECT *, {REASON} AS reason, CAST(length(event_id) % 6 AS INT) AS kafka_partition,
+                     CAST(abs(simulation_time_us) AS BIGINT) AS kafka_offset
+              FROM source_events) e
         WHERE reason IS NOT NULL""",
 )
 def _(t):
     records = (
-        t("telemetry")
-        .withColumn("topic", F.lit("telemetry"))
-        .withColumn("kafka_partition", (F.col("race_position") % 6).cast("int"))
-        .withColumn("kafka_offset", F.col("event_id").cast("bigint"))
+        t("source_events")
+        .withColumn("topic", F.col("kind"))
+        .withColumn("kafka_partition", (F.length("event_id") % 6).cast("int"))
+        .withColumn("kafka_offset", F.abs("simulation_time_us").cast("bigint"))
     )
     _, rejected = quality.split_rejected(quality.validate_source_event(records))
     return quality.dead_letter(rejected).select(
@@ -74,7 +75,8 @@ def _(t):
 
 
 def _range_sql(name: str, low: float, high: float | None) -> str:
-    return f"{name} < {low}" + ("" if high is None else f" OR {name} > {high}")
+    whole = f" OR {name} <> floor({name})" if isinstance(low, int) else ""
+    return f"{name} < {low}" + ("" if high is None else f" OR {name} > {high}") + whole
 
 
 def _listing(broken: list[tuple[str, str]]) -> str:

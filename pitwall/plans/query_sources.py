@@ -152,12 +152,14 @@ def _(t):
 
 @query(
     "schema_evolution_fill",
-    """SELECT event_id, CASE WHEN valid THEN 0 ELSE lap % 20 END AS race_position,
+    """SELECT CASE WHEN NOT pit_lap THEN event_id END AS event_id,
+              CASE WHEN valid OR pit_lap THEN 0 ELSE lap % 20 END AS race_position,
               false AS neutralized, 1 AS current_lap
-       FROM laps WHERE NOT pit_lap""",
+       FROM laps""",
 )
 def _(t):
-    events = _decoded(t).filter(F.col("evento").isNotNull()).select("evento.*")
+    # Rows that no writer schema reads get the defaults too: nothing is cut from the result.
+    events = _decoded(t).select("evento.*")
     defaults = {"race_position": 0, "neutralized": False, "current_lap": 1}
     return decode.schema_evolution_fill(events, defaults).select("event_id", *defaults)
 

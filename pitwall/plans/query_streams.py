@@ -16,7 +16,7 @@ from pitwall.plans.query_laps import COMPLETE
 from pitwall.plans.query_order import FRAMES_BATCH
 from pitwall.plans.registry import query
 from pitwall.sources import decode, layers, storage
-from pitwall.streaming import completion, frames, jobs, materialize
+from pitwall.streaming import completion, frames, health, jobs, materialize
 
 
 def _files(t, df: DataFrame, name: str, per_trigger: int = 4) -> DataFrame:
@@ -185,22 +185,27 @@ def _(t):
        FROM timing GROUP BY race_id, car_id, team_id, checkpoint_id""",
 )
 def _(t):
-    path = storage.scratch(t.spark, "live-bests")
     rows = t("timing").select(
         "race_id", "car_id", "team_id", "checkpoint_id", "segment_time_ms", "valid", "pit_lap"
     )
+    keys = ["race_id", "car_id", "team_id", "checkpoint_id"]
+    return _upserts(t, jobs.live_bests(_files(t, rows, "crossings")), keys)
+
+
+def _upserts(t, stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Run an update stream to completion; the newest row of each key."""
+    path = storage.scratch(t.spark, "upserts")
     running = (
-        jobs.live_bests(_files(t, rows, "crossings"))
-        .writeStream.foreachBatch(jobs.upsert_sink(f"{path}/table"))
+        stream.writeStream.foreachBatch(jobs.upsert_sink(f"{path}/table"))
         .outputMode("update")
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     running.awaitTermination()
-    updates = t.spark.read.parquet(f"{path}/table")
-    keys = ["race_id", "car_id", "team_id", "checkpoint_id"]
-    return keep_first(updates, keys, [F.col("batch_id").desc()]).drop("batch_id")
+    return keep_first(
+        t.spark.read.parquet(f"{path}/table"), keys, [F.col("batch_id").desc()]
+    ).drop("batch_id")
 
 
 @query(
@@ -209,11 +214,78 @@ def _(t):
                neutralized, valid FROM ({COMPLETE}) l""",
 )
 def _(t):
-    # The crossings of a lap come in any order; laps of a car are kept in one file.
-    crossings = t("timing").repartition(8, "race_id", "car_id")
-    return _to_table(
-        t, completion.lap_completion_stream(_files(t, crossings, "laps-in")), "laps-out"
+    timing = t("timing")
+    # The crossings of a lap are spread over four triggers; some come twice, some without a time.
+    again = timing.filter(F.col("lap_elapsed_ms") % 7 == 0)
+    blank = timing.filter((F.col("sector") > 0) & (F.col("lap") % 5 == 0)).withColumn(
+        "sector_time_ms", F.lit(None).cast("bigint")
+    ).filter("checkpoint_id <> 'SF'")
+    crossings = timing.unionByName(again).unionByName(blank).repartition(
+        8, F.xxhash64("event_id", F.rand(5))
+    )
+    return _upserts(t, completion.lap_completion_stream(_files(t, crossings, "laps-in", 2)),
+                    completion.LAP)
+
+
+@query(
+    "record_accounting",
+    """SELECT CAST(sum(n) AS BIGINT) AS received, CAST(sum(stored) AS BIGINT) AS stored,
+              CAST(sum(n) - sum(stored) - sum(dead) AS BIGINT) AS replayed,
+              CAST(sum(dead) AS BIGINT) AS dead, CAST(sum(unknown) AS BIGINT) AS unknown_schema,
+              CAST(sum(dead) - sum(unknown) AS BIGINT) AS unreadable
+       FROM (SELECT count(*) AS n, count(DISTINCT event_id) AS stored, 0 AS dead, 0 AS unknown
+             FROM laps_raw
+             UNION ALL
+             SELECT 2 * count(*), 0, 2 * count(*), count(*) FROM laps WHERE pit_lap) r""",
+)
+def _(t):
+    base = storage.scratch(t.spark, "accounted")
+    good = lap_records(t, "laps_raw")
+    pits = lap_records(t, "laps", "pit_lap")
+    header = F.unhex(F.lit("0000000007"))
+    broken = pits.withColumn("value", F.concat(header, F.lit("{broken").cast("binary")))
+    unknown = pits.withColumn(
+        "value", F.concat(F.unhex(F.lit("0000000063")), F.expr("substring(value, 6)"))
+    )
+    records = good.unionByName(broken).unionByName(unknown)
+    jobs.stream_lap_metrics(
+        _files(t, records, "accounted-in", 1000), decode_laps, base, f"{base}-checkpoint", None
+    ).awaitTermination()
+    counts = t.spark.read.parquet(f"{base}/{jobs.LAP_COMMITS}").agg(
+        *[F.sum(c).alias(c) for c in ("received", "stored", "replayed", "dead")]
+    )
+    dead = t.spark.read.parquet(f"{base}/{jobs.LAP_DEAD_LETTERS}").agg(
+        F.count_if(F.col("reason") == decode.UNKNOWN_SCHEMA).alias("unknown_schema"),
+        F.count_if(F.col("reason") == decode.UNREADABLE).alias("unreadable"),
+    )
+    return counts.join(dead)  # one row each
+
+
+@query(
+    "query_health",
+    """SELECT query_id, sampled_at,
+              CASE WHEN busy THEN sampled_at - min(sampled_at) OVER p ELSE 0 END AS busy_seconds,
+              NOT busy OR sampled_at - min(sampled_at) OVER p <= 30 AS ready
+       FROM (SELECT *, sum(fresh) OVER (PARTITION BY query_id ORDER BY sampled_at) AS stretch
+             FROM (SELECT *, CASE WHEN busy AND lag(busy) OVER q AND batch_id = lag(batch_id) OVER q
+                                  THEN 0 ELSE 1 END AS fresh
+                   FROM (SELECT CAST(o_orderkey % 4 AS STRING) AS query_id,
+                                CAST(o_orderkey AS DOUBLE) AS sampled_at,
+                                o_orderkey % 11 <> 0 AS busy,
+                                CAST(floor(o_orderkey / 60) AS BIGINT) AS batch_id FROM orders) s
+                   WINDOW q AS (PARTITION BY query_id ORDER BY sampled_at)) f) g
+       WINDOW p AS (PARTITION BY query_id, stretch)""",
+)
+def _(t):
+    samples = t("orders").select(
+        (F.col("o_orderkey") % 4).cast("string").alias("query_id"),
+        F.col("o_orderkey").cast("double").alias("sampled_at"),
+        F.lit(True).alias("active"),
+        (F.col("o_orderkey") % 11 != 0).alias("busy"),
+        F.floor(F.col("o_orderkey") / 60).cast("bigint").alias("batch_id"),
     )
+    checked = health.query_health(samples, 30.0)
+    return checked.select("query_id", "sampled_at", "busy_seconds", "ready")
 
 
 @query(
@@ -234,9 +306,10 @@ def _(t):
     # Races are kept whole in one file, so every race sees its snapshots in order.
     telemetry = _files(t, samples.repartition(8, "race_id"), "samples", 1000)
     control = _files(t, entered, "entries", 1000)
-    rows = _to_table(t, frames.frame_assembler(telemetry, control), "frames-out")
+    ends = _files(t, entered.select("race_id"), "ends", 1000)
+    rows = _to_table(t, frames.frame_assembler(telemetry, control, ends), "frames-out")
     laps_completed = F.get_json_object("payload", "$.laps_completed").cast("int")
-    return rows.filter("complete").select(
+    return rows.filter("complete AND refused IS NULL").select(
         "race_id", "snapshot_id", "car_id", "race_position", laps_completed.alias("laps_completed")
     )
 

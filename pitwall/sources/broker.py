@@ -12,11 +12,11 @@ from pitwall.schemas import TOPICS, topic_of
 
 def broker_options(
     servers: str,
+    max_offsets: int,
     topics: Sequence[str] = tuple(TOPICS.values()),
-    max_offsets: int = 1000,
     starting: str = "earliest",
 ) -> dict[str, str]:
-    """Source options: all topics with headers, rate limited, failing on lost offsets."""
+    """Source options: topics with headers, ``max_offsets`` a trigger in all, failing on lost offsets."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
@@ -30,12 +30,12 @@ def broker_options(
 def broker_source(
     spark: SparkSession,
     servers: str,
+    max_offsets: int,
     topics: Sequence[str] = tuple(TOPICS.values()),
-    max_offsets: int = 1000,
     starting: str = "earliest",
 ) -> DataFrame:
     """Stream of broker records; needs Spark's Kafka connector on the class path."""
-    options = broker_options(servers, topics, max_offsets, starting)
+    options = broker_options(servers, max_offsets, topics, starting)
     return spark.readStream.format("kafka").options(**options).load()
 
 

@@ -1,71 +1,33 @@
-"""Laps emitted once, as soon as the finish line and three sectors are in."""
+"""Laps that are complete, and corrected as long as crossings of them come in."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUTPUT = """race_id string, car_id string, lap int, event_id string, lap_time_ms bigint,
-    s1_ms bigint, s2_ms bigint, s3_ms bigint, pit_lap boolean, neutralized boolean,
-    valid boolean"""
-STATE = "open_laps string, emitted string"
-_COLUMNS = [part.split()[0] for part in OUTPUT.split(",")]
-_INPUT = ["lap", "checkpoint_id", "sector", "event_id", "lap_elapsed_ms", "sector_time_ms",
-          "pit_lap", "neutralized", "valid"]
-
-# A car without crossings for this long is forgotten.
-IDLE_MS = 6 * 60 * 60 * 1000
-
-
-def _fold(lap: dict[str, Any], row: Any) -> None:
-    """Add one crossing to an open lap; of two finish reports the lower id stays."""
-    lap["neutralized"] = bool(lap.get("neutralized") or row.neutralized)
-    if row.sector:
-        lap[f"s{int(row.sector)}"] = int(row.sector_time_ms)
-    if row.checkpoint_id == "SF" and row.event_id <= lap.get("event_id", row.event_id):
-        lap["event_id"], lap["time"] = row.event_id, int(row.lap_elapsed_ms)
-        lap["pit"], lap["valid"] = bool(row.pit_lap), bool(row.valid)
-
-
-def complete(
-    key: Any, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """State function of one car of one race."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    open_text, emitted_text = state.get if state.exists else ("{}", "[]")
-    open_laps = {int(number): lap for number, lap in json.loads(open_text).items()}
-    emitted = set(json.loads(emitted_text))
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            if row.lap not in emitted:
-                _fold(open_laps.setdefault(int(row.lap), {}), row)
-    whole = [n for n, lap in open_laps.items() if {"time", "s1", "s2", "s3"} <= lap.keys()]
-    rows = []
-    for number in sorted(whole):
-        lap = open_laps.pop(number)
-        emitted.add(number)
-        rows.append(
-            (*key, number, lap["event_id"], lap["time"], lap["s1"], lap["s2"], lap["s3"],
-             lap["pit"], lap["neutralized"], lap["valid"] and not lap["neutralized"])
-        )
-    state.update((json.dumps(open_laps), json.dumps(sorted(emitted))))
-    state.setTimeoutDuration(IDLE_MS)
-    yield pd.DataFrame(rows, columns=_COLUMNS)
-
-
-def lap_completion_stream(timing: DataFrame) -> DataFrame:
-    """Stream of completed laps; replayed crossings of an emitted lap change nothing."""
-    return (
-        timing.select("race_id", "car_id", *_INPUT)
-        .groupBy("race_id", "car_id")
-        .applyInPandasWithState(
-            complete, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
-        )
+from pyspark.sql import functions as F
+
+from pitwall.operators.laps import lap_aggregates, whole_laps
+
+LAP = ["race_id", "car_id", "lap"]
+
+
+def lap_completion_stream(
+    timing: DataFrame, started_at: str | None = None, delay: str = "2 days"
+) -> DataFrame:
+    """Streaming aggregation for update mode: every lap whose finish and three sectors are in.
+
+    A lap appears with the trigger that completes it and again with each later crossing of it, so
+    late sectors and neutralisations correct what was said before; readers keep the newest row of
+    a lap.  Replayed crossings change no value, and crossings without a time complete nothing.
+    With ``started_at`` (a timestamp that all crossings of a race share) laps leave the state once
+    races ``delay`` younger have begun; without it laps are kept for good.
+    """
+    keys = LAP
+    if started_at is not None:
+        timing = timing.withWatermark(started_at, delay)
+        keys = [*LAP, started_at]
+    grouped = timing.groupBy(*keys).agg(*lap_aggregates(["event_id"]))
+    laps = whole_laps(grouped)
+    sectors = [F.col("sectors_ms")[i].alias(f"s{i + 1}_ms") for i in range(3)]
+    return laps.select(
+        *LAP, "event_id", "lap_time_ms", *sectors, "pit_lap", "neutralized", "valid"
     )

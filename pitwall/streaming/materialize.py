@@ -19,13 +19,20 @@ from pitwall.operators import gold, laps, lifecycle
 from pitwall.operators.order import latest_complete_frame
 from pitwall.operators.projections import bronze_projection, flatten_state_cars
 from pitwall.schemas import TOPICS
-from pitwall.sources.decode import Decoder, avro_decoder, decode_by_writer_schema
+from pitwall.sources.decode import (
+    Decoder,
+    avro_decoder,
+    decode_by_writer_schema,
+    envelope_header,
+    split_decoded,
+)
 from pitwall.sources.layers import archive_scan, committed_batch_scan, read_layer
 from pitwall.sources.storage import CHECKPOINT_SETTING, shared_root
 from pitwall.streaming.jobs import LAP_COMMITS, LAP_FACTS, LAP_PARTIALS, LAP_WINDOWS
 
 ARCHIVE = "telemetry_raw"
 BRONZE_EVENTS = "bronze/events"
+BRONZE_DEAD = "bronze/dead_letters"
 SILVER_LAPS = "silver/laps"
 SILVER_STOPS = "silver/pit_stops"
 SILVER_FINAL = "silver/final_telemetry"
@@ -36,6 +43,10 @@ GOLD_COMMITS = "gold/commits"
 RUN = "run_id string"
 SUMMARIES = f"race_id string, json string, {RUN}"
 RUN_COMMITS = f"races bigint, {RUN}"
+# One record is known by its broker position.
+POSITION = ["topic", "kafka_partition", "kafka_offset"]
+DEAD = "topic string, kafka_partition int, kafka_offset bigint, avro_envelope binary, reason string"
+NO_CONTRACT = "no contract for the topic"
 FACTS = """event_id string, race_id string, car_id string, lap int, lap_time_ms bigint,
     valid boolean, sectors_ms array<bigint>, pit_lap boolean, race_position int,
     event_time string, kafka_partition int, kafka_offset bigint, batch_id bigint"""
@@ -63,10 +74,17 @@ def _schema(ddl: str) -> T.StructType:
 
 
 def read_committed(spark: SparkSession, base: str, table: str, schema: T.StructType) -> DataFrame:
-    """Rows of a layer table from committed runs; ``schema`` ends with ``run_id``."""
+    """Rows of a layer table from committed runs; ``schema`` ends with ``run_id``.
+
+    If two runs have committed one race, the newer run counts.
+    """
     commits = read_layer(spark, f"{base}/{GOLD_COMMITS}", _schema(RUN_COMMITS))
     rows = read_layer(spark, f"{base}/{table}", schema)
-    return rows.join(commits.select("run_id"), "run_id", "left_semi")
+    seen = rows.join(commits.select("run_id"), "run_id", "left_semi")
+    if "race_id" not in schema.names:
+        return seen
+    newest = seen.groupBy("race_id").agg(F.max("run_id").alias("run_id"))
+    return seen.join(newest, ["race_id", "run_id"], "left_semi").select(*schema.names)
 
 
 def read_summaries(spark: SparkSession, base: str) -> DataFrame:
@@ -74,6 +92,22 @@ def read_summaries(spark: SparkSession, base: str) -> DataFrame:
     return read_committed(spark, base, GOLD_SUMMARY, _schema(SUMMARIES)).select("race_id", "json")
 
 
+def undecodable(archive: DataFrame, contracts: Contracts, decoder: Decoder) -> DataFrame:
+    """Archived records that no contract can read, with their envelope and the reason."""
+    columns = [*POSITION, "avro_envelope", "reason"]
+    strange = envelope_header(archive.filter(~F.col("topic").isin(*contracts)))
+    dead = strange.withColumn("reason", F.lit(NO_CONTRACT)).select(*columns)
+    for topic, (registry, reader) in contracts.items():
+        rows = decode_by_writer_schema(archive, topic, registry, reader, decoder)
+        dead = dead.unionByName(split_decoded(rows)[1].select(*columns))
+    return dead
+
+
+def read_dead_letters(spark: SparkSession, base: str) -> DataFrame:
+    """Dead letters of the committed runs."""
+    return read_committed(spark, base, BRONZE_DEAD, _schema(f"{DEAD}, {RUN}")).drop("run_id")
+
+
 def read_classification(spark: SparkSession, base: str) -> DataFrame:
     """Gold classification of the races done so far."""
     schema = _schema(f"{gold.CLASSIFICATION}, {RUN}")
@@ -104,8 +138,9 @@ def materialize_finished_races(
 ) -> DataFrame:
     """Write bronze, silver and gold of every finished race that has no summary yet.
 
-    A race whose cars are not all finished in the archive waits for the next run.  Returns the
-    races written.
+    A race whose cars are not all finished in the archive waits for the next run.  Records that
+    cannot be decoded become dead letters of the first run that sees them.  Returns the races
+    written.
     """
     archive = archive_scan(spark, f"{base}/{ARCHIVE}")
     write = _run_writer(spark, base)
@@ -113,7 +148,7 @@ def materialize_finished_races(
     def decoded(topic: str) -> DataFrame:
         registry, reader = contracts[topic]
         rows = decode_by_writer_schema(archive, topic, registry, reader, decoder)
-        return rows.filter(F.col("evento").isNotNull())
+        return split_decoded(rows)[0]
 
     def events(topic: str, races: DataFrame) -> DataFrame:
         return decoded(topic).select("evento.*").join(races, "race_id", "left_semi")
@@ -121,7 +156,7 @@ def materialize_finished_races(
     def incremental(table: str, schema: str) -> DataFrame:
         commits = read_layer(spark, f"{base}/{LAP_COMMITS}", _schema(BATCH_COMMITS))
         rows = read_layer(spark, f"{base}/{table}", _schema(schema))
-        return committed_batch_scan(rows, commits).join(ready, "race_id", "left_semi")
+        return committed_batch_scan(rows.join(ready, "race_id", "left_semi"), commits)
 
     controls = decoded("control").select("evento.*")
     pending = _checkpointed(spark, lifecycle.pending_races(controls, read_summaries(spark, base)))
@@ -145,6 +180,9 @@ def materialize_finished_races(
     bronze = _bronze(decoded, contracts).join(ready, "race_id", "left_semi")
     write(gold.bronze_union(bronze, incremental(LAP_WINDOWS, WINDOWS), coverage), BRONZE_EVENTS)
 
+    known = read_dead_letters(spark, base).select(*POSITION)
+    write(undecodable(archive, contracts, decoder).join(known, POSITION, "left_anti"), BRONZE_DEAD)
+
     classified = write(
         gold.classification(final, laps.valid_lap_stats(stored_laps), laps.pit_stop_counts(stops)),
         GOLD_CLASSIFICATION,

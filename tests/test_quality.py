@@ -177,13 +177,13 @@ def test_topics_are_unique_and_route_every_kind(spark):
 
 
 def test_broker_options_and_missing_connector(spark):
-    options = broker.broker_options("host:1", ["a", "b"], 7)
+    options = broker.broker_options("host:1", 7, ["a", "b"])
     assert options["subscribe"] == "a,b"
     assert options["failOnDataLoss"] == "true"
     assert options["maxOffsetsPerTrigger"] == "7"
     assert options["includeHeaders"] == "true"
     with pytest.raises(Exception, match="(?i)kafka"):
-        broker.broker_source(spark, "host:1")
+        broker.broker_source(spark, "host:1", 100)
 
 
 def test_schema_evolution(spark):
@@ -228,3 +228,26 @@ def test_telemetry_phases(spark):
     assert [r["driving_phase"] for r in rows] == ["corner", "braking", "straight"]
     assert (rows[0]["lap"], rows[0]["sector"], rows[0]["gear"], rows[0]["g_horizontal"]) == (3, 3, 8, 5.0)
     assert rows[2]["g_horizontal"] is None
+
+
+@pytest.mark.parametrize("clock", [float("nan"), float("inf"), -1.0])
+def test_clocks_are_finite_and_not_negative(spark, clock):
+    rows = [("incident", "e", "r", 1.0, 1, 0), ("incident", "e", "r", clock, 1, 0)]
+    columns = """kind string, event_id string, race_id string, simulation_time_us double, lap int,
+        penalty_seconds int"""
+    checked = quality.validate_source_event(spark.createDataFrame(rows, columns)).collect()
+    assert [r["reasons"] for r in checked] == [[], [quality.BAD_CLOCK]]
+
+
+def test_absent_and_fractional_fields_break_the_telemetry_contract(spark):
+    frame = spark.createDataFrame([(2.5, 3.0, float("inf"))], "gear double, lap double, rpm double")
+    reasons = quality.validate_telemetry_contract(frame).first()["reasons"]
+    assert {"gear", "rpm", "track_progress", "speed_kmh"} <= set(reasons)
+    assert "lap" not in reasons
+
+
+def test_dedup_needs_an_order(spark):
+    from pitwall.operators import dedup
+
+    with pytest.raises(ValueError, match="ordering"):
+        dedup.dedup_event_id(spark.createDataFrame([("e",)], "event_id string"))
