@@ -171,7 +171,8 @@ def fingerprint_classes(hashed: DataFrame) -> DataFrame:
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "smallest", F.coalesce("root", "fp").alias("root")
     )
-    named = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    # Stored, so that the join below stands between two shuffles and large roots can be split.
+    named = written(placed.groupBy("root").agg(F.min("smallest").alias("component_id")), "named")
     return written(placed.join(named, "root").select("fp", "root", "component_id"), "classes")
 
 
@@ -316,8 +317,10 @@ def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") ->
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
     placed = hashed.join(fingerprint_classes(hashed), "fp").select("root", order.alias("row"))
     best = placed.groupBy("root").agg(F.min("row").alias("best"), F.count("*").alias("n"))
+    # Stored, so that the join below stands between two shuffles and large roots can be split.
+    several = written(best.filter("n > 1").select("root", "best"), "best")
     judged = written(
-        placed.join(best.filter("n > 1"), "root")
+        placed.join(several, "root")
         .groupBy("row.doc_id", "row.digest")
         .agg(F.first(F.col("row") == F.col("best")).alias("stays"), F.count("*").alias("n")),
         "judged",
