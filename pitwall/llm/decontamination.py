@@ -67,11 +67,13 @@ def anchored(windows: DataFrame, frequencies: DataFrame) -> DataFrame:
     A window with a term that no document has cannot occur and is left out.
     """
     places = windows.select("gram", "items", F.posexplode("gram").alias("shift", "term"))
+    # A very common term stands in many windows: the counted terms are sent to all of them.
+    counted = small_side(written(frequencies, "frequencies"))
     rarest = F.struct(
         F.coalesce("frequency", F.lit(0)).alias("frequency"), F.col("term"), F.col("shift")
     )
     return (
-        places.join(frequencies, "term", "left")
+        places.join(counted, "term", "left")
         .groupBy("gram")
         .agg(F.min(rarest).alias("rarest"), F.first("items").alias("items"))
         .filter(F.col("rarest.frequency") > 0)
