@@ -105,10 +105,11 @@ def _(t):
         WHERE r.race_id NOT IN (SELECT race_id FROM ({_COVERED}) d WHERE covered)""",
 )
 def _(t):
-    columns = ["event_id", "race_id", "car_id", "lap_time_ms"]
-    return gold.lap_source_choice(
+    columns = ["event_id", "race_id", "car_id", "lap_time_ms", "kafka_partition", "kafka_offset"]
+    chosen = gold.lap_source_choice(
         _coverage(t), t("laps").select(*columns), t("laps_raw").select(*columns)
     )
+    return chosen.drop("kafka_partition", "kafka_offset")
 
 
 _BRONZE = ["topic", "kafka_partition", "kafka_offset", "event_id", "race_id"]
