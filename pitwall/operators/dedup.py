@@ -66,6 +66,8 @@ def stream_dedup(stream: DataFrame, time_column: str, delay: str) -> DataFrame:
     return stream.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def unseen_events(batch: DataFrame, facts: DataFrame) -> DataFrame:
-    """Rows of a micro-batch whose event id is not stored yet (replays older than the watermark)."""
-    return batch.join(facts.select("event_id"), "event_id", "left_anti")
+def unseen_events(
+    batch: DataFrame, facts: DataFrame, keys: Sequence[str] = ("event_id",)
+) -> DataFrame:
+    """Rows of a micro-batch whose key is not stored yet (replays older than any watermark)."""
+    return batch.join(facts.select(*keys), list(keys), "left_anti")

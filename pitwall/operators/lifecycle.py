@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.operators.ranges import keep_first, tie_break
@@ -177,3 +177,42 @@ def stream_throughput(
             (F.sum("errors") / seconds).alias("error_rate"),
         )
     )
+
+
+def outbox_backlog(
+    outbox: DataFrame, delivered: DataFrame, slide_seconds: int = 30
+) -> DataFrame:
+    """Events that wait for delivery at the end of each slide: ``slot, queued, sent, backlog``.
+
+    ``outbox`` has ``id`` and ``queued_at``, ``delivered`` has ``id`` and ``delivered_at``; an event
+    that never left stays in the backlog. Slides without a change are left out. Events are counted
+    per slide and per day first: the running total is taken within each day, from what the days
+    before have left.
+    """
+
+    def per_slide(rows: DataFrame, moment: str, name: str, other: str) -> DataFrame:
+        slot = F.window(moment, f"{slide_seconds} seconds")["start"].alias("slot")
+        return rows.groupBy(slot).agg(
+            F.count("*").alias(name), F.lit(0).cast("bigint").alias(other)
+        )
+
+    known = delivered.join(outbox.select("id"), "id", "left_semi")
+    moved = per_slide(outbox, "queued_at", "queued", "sent").unionByName(
+        per_slide(known, "delivered_at", "sent", "queued")
+    )
+    slides = moved.groupBy("slot").agg(F.sum("queued").alias("queued"), F.sum("sent").alias("sent"))
+    change = F.col("queued") - F.col("sent")
+    dated = slides.withColumn("_day", F.to_date("slot"))
+    # One row for each day: the only total that is taken in one task.
+    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    left = (
+        dated.groupBy("_day")
+        .agg(F.sum(change).alias("_change"))
+        .select("_day", F.coalesce(F.sum("_change").over(before), F.lit(0)).alias("_left"))
+    )
+    until = Window.partitionBy("_day").orderBy("slot")
+    return (
+        dated.join(left, "_day")
+        .withColumn("backlog", F.col("_left") + F.sum(change).over(until))
+        .drop("_day", "_left")
+    )

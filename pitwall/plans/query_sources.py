@@ -220,3 +220,25 @@ def _(t):
 )
 def _(t):
     return lifecycle.stream_throughput(t("envelopes"), F.col("payload") == '{"k": 9}')
+
+
+@query(
+    "outbox_backlog",
+    """SELECT slot, CAST(queued AS BIGINT) AS queued, CAST(sent AS BIGINT) AS sent,
+              CAST(sum(queued - sent) OVER (ORDER BY slot) AS BIGINT) AS backlog
+       FROM (SELECT slot, sum(q) AS queued, sum(s) AS sent
+             FROM (SELECT time_bucket(INTERVAL 30 SECOND, ts, TIMESTAMP '1970-01-01') AS slot,
+                          1 AS q, 0 AS s FROM events
+                   UNION ALL
+                   SELECT time_bucket(INTERVAL 30 SECOND, ts + to_seconds(user_id % 300),
+                                      TIMESTAMP '1970-01-01'), 0, 1
+                   FROM events WHERE event_type <> 'error') m GROUP BY slot) t""",
+)
+def _(t):
+    events = t("events")
+    outbox = events.select(F.col("event_id").alias("id"), F.col("ts").alias("queued_at"))
+    late = F.col("ts") + F.make_dt_interval(secs=F.col("user_id") % 300)
+    sent = events.filter("event_type <> 'error'").select(
+        F.col("event_id").alias("id"), late.alias("delivered_at")
+    )
+    return lifecycle.outbox_backlog(outbox, sent)

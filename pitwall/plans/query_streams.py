@@ -14,9 +14,10 @@ from pitwall.operators.ranges import keep_first
 from pitwall.plans.query_gold import CLASSIFICATION
 from pitwall.plans.query_laps import COMPLETE
 from pitwall.plans.query_order import FRAMES_BATCH
+from pitwall.plans.query_quality import REASON
 from pitwall.plans.registry import query
 from pitwall.sources import decode, layers, storage
-from pitwall.streaming import completion, frames, health, jobs, materialize
+from pitwall.streaming import completion, frames, health, ingest, jobs, materialize
 
 
 def _files(t, df: DataFrame, name: str, per_trigger: int = 4) -> DataFrame:
@@ -261,6 +262,36 @@ def _(t):
     return counts.join(dead)  # one row each
 
 
+@query(
+    "ingest_sink",
+    f"""SELECT kind, CAST(count(DISTINCT CASE WHEN reason IS NULL THEN event_id END) AS BIGINT)
+               AS stored, CAST(2 * count(reason) AS BIGINT) AS dead
+        FROM (SELECT kind, event_id, {REASON} AS reason FROM source_events) e
+        GROUP BY kind""",
+)
+def _(t):
+    base = storage.scratch(t.spark, "ingest")
+    events = (
+        t("source_events")
+        .withColumn("topic", F.col("kind"))
+        .withColumn("kafka_partition", F.lit(0))
+        .withColumn("kafka_offset", F.abs(F.xxhash64("kind", "event_id")))
+    )
+    sink = ingest.ingest_sink(base)
+    # All events are sent again later, and the first micro-batch is delivered twice.
+    again = events.withColumn("kafka_partition", F.lit(1))
+    for number, batch in ((0, events), (1, again), (0, events)):
+        sink(batch, number)
+    stored = ingest.stored_facts(t.spark, base, events.schema).groupBy("kind").agg(
+        F.count("*").alias("stored")
+    )
+    dead = t.spark.read.parquet(f"{base}/{ingest.DEAD_LETTERS}").groupBy(
+        F.col("source_topic").alias("kind")
+    ).agg(F.count("*").alias("dead"))
+    both = stored.join(dead, "kind", "full")
+    return both.select("kind", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("stored", "dead")])
+
+
 @query(
     "query_health",
     """SELECT query_id, sampled_at,
