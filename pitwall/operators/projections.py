@@ -86,11 +86,13 @@ def flatten_state_cars(state: DataFrame) -> DataFrame:
 
 
 def flatten_analytics_cars(analytics: DataFrame) -> DataFrame:
-    """One row per race, revision and car of the online summary."""
-    cars = analytics.select("race_id", "revision", F.explode("cars").alias("car"))
+    """One row per race, revision and car of the online summary, with the broker offset if known."""
+    offset = [name for name in ("kafka_offset",) if name in analytics.columns]
+    cars = analytics.select("race_id", "revision", *offset, F.explode("cars").alias("car"))
     return cars.select(
         "race_id",
         "revision",
+        *offset,
         F.col("car.car_id").alias("car_id"),
         F.col("car.lap_count").alias("voltas_consumer"),
         F.col("car.best_lap_time_ms").alias("melhor_consumer_ms"),

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from pitwall.operators import dedup, laps
 from pitwall.operators.ranges import keep_first
-from pitwall.plans.query_gold import CLASSIFICATION
+from pitwall.operators.projections import envelope_projection
+from pitwall.plans.query_gold import CLASSIFICATION, PARITY
 from pitwall.plans.query_laps import COMPLETE
 from pitwall.plans.query_order import FRAMES_BATCH
 from pitwall.plans.query_quality import REASON
 from pitwall.plans.registry import query
 from pitwall.sources import decode, layers, storage
-from pitwall.streaming import completion, frames, health, ingest, jobs, materialize
+from pitwall.streaming import completion, frames, health, ingest, jobs, materialize, parity
 
 
 def _files(t, df: DataFrame, name: str, per_trigger: int = 4) -> DataFrame:
@@ -414,3 +415,38 @@ def _(t):
     return materialize.read_classification(t.spark, base)
 
 
+_SUMMARY = """race_id string, revision int, cars array<struct<car_id: string, lap_count: bigint,
+    best_lap_time_ms: bigint, worst_lap_time_ms: bigint>>"""
+
+
+@query(
+    "archive_parity",
+    f"""SELECT count(car_id) AS carros, count(paridade) AS comparados,
+               CAST(count(*) FILTER (WHERE paridade) AS BIGINT) AS coincidentes,
+               CAST(count(*) FILTER (WHERE NOT paridade) AS BIGINT) AS divergentes,
+               (SELECT CAST(count(*) AS BIGINT) FROM laps WHERE pit_lap) AS undecodable
+        FROM ({PARITY}) p""",
+)
+def _(t):
+    base = storage.scratch(t.spark, "parity")
+    car = F.struct("car_id", "lap_count", "best_lap_time_ms", "worst_lap_time_ms")
+    summaries = (
+        t("online_analytics")
+        .groupBy("race_id", "revision")
+        .agg(F.collect_list(car).alias("cars"))
+        .select(
+            F.col("race_id").cast("binary").alias("key"),
+            _envelope(9, "race_id", "revision", "cars").alias("value"),
+            F.lit("analytics").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.col("revision").cast("bigint").alias("offset"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"),
+        )
+    )
+    broken = lap_records(t, "laps", "pit_lap").withColumn("value", F.unhex(F.lit("00000000077B")))
+    records = lap_records(t, "laps_raw").unionByName(summaries).unionByName(broken)
+    layers.layer_table_sink(
+        envelope_projection(records), f"{base}/{materialize.ARCHIVE}", ("topic", "event_date_utc")
+    )
+    contracts = {"lap_completed": LAP_CONTRACT, "analytics": ({9: _SUMMARY}, _SUMMARY)}
+    return parity.archive_parity(t.spark, base, contracts, decode.json_decoder)
