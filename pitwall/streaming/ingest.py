@@ -69,7 +69,8 @@ def ingest_sink(base: str) -> Callable[[DataFrame, int], None]:
             )
             once = dedup_event_id(accepted, BROKER_ORDER, ("kind",))
             fresh = unseen_events(once, earlier, IDENTITY).select(*events.columns, number)
-            write(fresh, FACTS, "race_slot")
+            # Few files per folder, while a folder that holds much of the batch is split.
+            write(fresh.hint("rebalance", "race_slot"), FACTS, "race_slot")
             facts = spark.read.schema(fresh.schema).parquet(f"{base}/{FACTS}").filter(
                 F.col("batch_id") == batch_id
             )

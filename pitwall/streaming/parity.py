@@ -47,4 +47,4 @@ def archive_parity(
     parity.write.mode("overwrite").parquet(f"{base}/{PARITY}")
     compared = spark.read.schema(parity.schema).parquet(f"{base}/{PARITY}")
     unread = bad_laps.count() + bad_summaries.count()
-    return gold.parity_summary(compared).withColumn("undecodable", F.lit(unread))
+    return gold.parity_summary(compared).withColumn("undecodable", F.lit(unread).cast("bigint"))
