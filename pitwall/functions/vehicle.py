@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 BASE_LAP_MS = 90_000
 FLOOR_LAP_MS = 60_000
 COMPOUND_DELTA_MS = {"soft": -250, "medium": 0, "hard": 300, "wet": 0}
+# Reference car of the model, and milliseconds for each unit away from it.
+REFERENCE = {"car_weight_kg": 820.0, "driver_weight_kg": 75.0, "top_speed_kmh": 330.0}
+MS_PER_UNIT = {
+    "car_weight_kg": 4.0, "driver_weight_kg": 3.0, "top_speed_kmh": -18.0, "tire_age_laps": 15.0,
+}
 # Gear and engine-speed bands.
 GEAR_STEP_KMH = 42
 TOP_GEAR = 8
@@ -76,15 +81,12 @@ def lap_time_estimate(
     """
     pairs = [F.lit(part) for item in COMPOUND_DELTA_MS.items() for part in item]
     compound_ms = F.try_element_at(F.create_map(*pairs), tire_compound)
-    raw = (
-        F.lit(float(BASE_LAP_MS))
-        + (
-            (car_weight_kg - 820.0) * 4.0
-            + (driver_weight_kg - 75.0) * 3.0
-        )
-        + (330.0 - top_speed_kmh) * 18.0
-        + compound_ms
-        + tire_age_laps * 15.0
-    )
+    traits = {
+        "car_weight_kg": car_weight_kg, "driver_weight_kg": driver_weight_kg,
+        "top_speed_kmh": top_speed_kmh, "tire_age_laps": tire_age_laps,
+    }
+    raw = F.lit(float(BASE_LAP_MS)) + compound_ms
+    for name, value in traits.items():
+        raw = raw + (value - REFERENCE.get(name, 0.0)) * MS_PER_UNIT[name]
     estimate = F.greatest(F.lit(FLOOR_LAP_MS).cast("bigint"), F.bround(raw, 0).cast("bigint"))
     return F.when((tire_age_laps >= 0) & compound_ms.isNotNull(), estimate)
