@@ -1,14 +1,15 @@
 """Toxicity classifier that is regularised by counterfactuals.
 
-A sparse logistic model over the words of a text and their beginnings. Wherever a labelled text names a group, the name
-is swapped for the other names of its kind and for a neutral word; the square of the change in
-score is penalised while fitting, so a mere mention of a group carries no weight, and texts are
-judged by what is said.
+A sparse logistic model over the words of a text and their beginnings. Wherever a labelled text
+names a group, the name is swapped for the other names of its kind and for a neutral word; the
+square of the change in score, over the name and all its beginnings, is penalised while fitting, so
+a mere mention of a group carries no weight, and texts are judged by what is said.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,32 +49,121 @@ def words(data: bytes) -> set[str]:
     return found
 
 
+def with_beginnings(found: set[str]) -> set[str]:
+    """Words and their beginnings, which inflected and compound forms share."""
+    return found.union(STEM + word[:n] for word in found for n in STEMS if len(word) >= n)
+
+
 def features(data: bytes) -> set[str]:
-    """Words of a text and their beginnings, which inflected and compound forms share."""
-    found = words(data)
-    found.update([STEM + word[:n] for word in found for n in STEMS if len(word) >= n])
+    """Words of a text and their beginnings."""
+    return with_beginnings(words(data))
+
+
+def text_swaps(data: bytes, groups=IDENTITY_TERMS) -> list[tuple[set[str], set[str]]]:
+    """(gone, new) features of a text for each swap of a group's name in it.
+
+    A name is swapped for every other name of its groups and for a neutral word, which has no
+    features; all names of a text are also swapped for neutral words at once. A feature that
+    another word of the text has too is not gone.
+    """
+    spoken = words(data)
+    named = sorted(spoken & {name for group in groups for name in group})
+    if not named:
+        return []
+    times = Counter(feature for word in spoken for feature in with_beginnings({word}))
+    found = []
+    for name in named:
+        own = with_beginnings({name})
+        for other in sorted({n for group in groups if name in group for n in group} - {name}):
+            put = with_beginnings({other})
+            gone = {f for f in own if times[f] == 1} - put
+            found.append((gone, {f for f in put if f not in times}))
+        found.append(({f for f in own if times[f] == 1}, set()))
+    if len(named) > 1:
+        theirs = Counter(feature for name in named for feature in with_beginnings({name}))
+        found.append(({f for f, n in theirs.items() if times[f] == n}, set()))
     return found
 
 
-def swaps(rows: Rows, groups=IDENTITY_TERMS) -> tuple[np.ndarray, np.ndarray]:
-    """(named, other) feature pairs, one for each swap in each text; -1 is the neutral word."""
-    number = {word: i for i, word in enumerate(rows.vocabulary)}
-    group_of = {}
-    for group in groups:
-        members = [number[word] for word in group if word in number]
-        for member in members:
-            group_of[member] = members
-    named, other = [], []
-    for feature in rows.ids[np.isin(rows.ids, list(group_of))].tolist():
-        targets = [t for t in group_of[feature] if t != feature] + [-1]
-        named += [feature] * len(targets)
-        other += targets
-    return np.array(named, dtype=np.int64), np.array(other, dtype=np.int64)
+@dataclass
+class Swaps:
+    """Feature changes of swaps: entry i puts ``signs[i]`` of feature ``ids[i]`` into swap
+    ``owner[i]``, and equal swaps are one with its number of ``times``."""
+
+    owner: np.ndarray
+    ids: np.ndarray
+    signs: np.ndarray
+    times: np.ndarray
+
+    def only(self, features: np.ndarray, size: int) -> Swaps:
+        """The same swaps over some of ``size`` features; swaps without any are left out."""
+        number = np.full(size, -1)
+        number[features] = np.arange(len(features))
+        kept = number[self.ids] >= 0
+        left, owner = np.unique(self.owner[kept], return_inverse=True)
+        return Swaps(owner, number[self.ids[kept]], self.signs[kept], self.times[left])
+
+    @property
+    def curvature(self) -> float:
+        """Bound of the mean square of the change over weights of length 1."""
+        return float(self.times[self.owner].sum() / max(1, self.times.sum()))
+
+    def gradient(self, weights: np.ndarray) -> np.ndarray:
+        """Gradient of the mean square of the score change."""
+        change = np.bincount(self.owner, self.signs * weights[self.ids], len(self.times))
+        pull = (2 / max(1, self.times.sum())) * self.times * change
+        return np.bincount(self.ids, self.signs * pull[self.owner], len(weights))
+
+
+def swaps(sample: DataFrame, vocabulary: list[str], groups=IDENTITY_TERMS) -> Swaps:
+    """Swaps in the texts of a sample, over the features of the vocabulary.
+
+    Counted in tasks. The pairs of names and the beginnings that other words share bound how many
+    differ.
+    """
+    shared = sample.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(vocabulary)})
+
+    def count(batches):
+        import pyarrow as pa
+
+        index, seen = shared.value, Counter()
+        for batch in batches:
+            for data in batch.column("text").cast(pa.binary()).to_pylist():
+                for gone, new in text_swaps(data or b"", groups):
+                    change = (
+                        tuple(sorted(index[f] for f in gone & index.keys())),
+                        tuple(sorted(index[f] for f in new & index.keys())),
+                    )
+                    if any(change):
+                        seen[change] += 1
+        yield pa.RecordBatch.from_pydict(
+            {
+                "gone": pa.array([gone for gone, _ in seen], pa.list_(pa.int32())),
+                "new": pa.array([new for _, new in seen], pa.list_(pa.int32())),
+                "n": pa.array(list(seen.values()), pa.int64()),
+            }
+        )
+
+    rows = (
+        sample.select("text")
+        .mapInArrow(count, "gone array<int>, new array<int>, n long")
+        .groupBy("gone", "new")
+        .agg(F.sum("n").alias("n"))
+        .orderBy("gone", "new")
+        .collect()
+    )
+    lengths = [len(row["gone"]) + len(row["new"]) for row in rows]
+    return Swaps(
+        np.repeat(np.arange(len(rows)), lengths),
+        np.array([i for row in rows for i in (*row["gone"], *row["new"])], dtype=np.int64),
+        np.array([s for row in rows for s in (*[1.0] * len(row["gone"]), *[-1.0] * len(row["new"]))]),
+        np.array([row["n"] for row in rows], dtype=np.int64),
+    )
 
 
 def fit(
     rows: Rows,
-    pairs: tuple[np.ndarray, np.ndarray],
+    swapped: Swaps,
     *,
     sparsity: float,
     fairness: float,
@@ -88,25 +178,19 @@ def fit(
     # The rarer class weighs more: each class counts as the root of its number of rows.
     mass = np.where(rows.labels == 1, np.sqrt((n - ones) / ones), 1.0)
     mass /= mass.sum()
-    named, other = pairs
-    share = fairness / max(1, len(named))
     # Bound of the curvature by a few power steps on the squared rows.
     probe = np.ones(size)
     for _ in range(10):
         probe = rows.spread(rows.times(probe))
         norm = np.linalg.norm(probe) or 1.0
         probe /= norm
-    step = 1.0 / (0.25 * (norm * mass.max() + 1.0) + 4.0 * fairness + 1e-9)
+    step = 1.0 / (0.25 * (norm * mass.max() + 1.0) + 2.0 * fairness * swapped.curvature + 1e-9)
     weights, bias = np.zeros(size), float(np.log(ones / (n - ones))) / 2
     ahead, ahead_bias, momentum = weights.copy(), bias, 1.0
     for _ in range(rounds):
         error = (logistic(rows.times(ahead) + ahead_bias) - rows.labels) * mass
         gradient = rows.spread(error)
-        if len(named):
-            change = ahead[named] - np.where(other >= 0, ahead[other], 0.0)
-            gradient += 2 * share * np.bincount(named, change, size)
-            real = other >= 0
-            gradient -= 2 * share * np.bincount(other[real], change[real], size)
+        gradient += fairness * swapped.gradient(ahead)
         moved = ahead - step * gradient
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * sparsity, 0.0)
         new_bias = ahead_bias - step * error.sum()
@@ -149,8 +233,9 @@ def train(
 
     With labels of one class only, or none, every text gets the smoothed share of label 1.
     """
+    texts = labelled_sample(docs, labels, label, rows)
     sample = indicator_rows(
-        labelled_sample(docs, labels, label, rows),
+        texts,
         features,
         least_docs=least_docs,
         most_features=most_features,
@@ -159,14 +244,12 @@ def train(
     ones, every = int(sample.labels.sum()), len(sample.labels)
     if ones in (0, every):
         return Model({}, float(np.log((ones + 1) / (every - ones + 1))))
-    weights, _ = fit(
-        sample, swaps(sample, groups), sparsity=sparsity, fairness=fairness, rounds=rounds
-    )
+    swapped = swaps(texts, sample.vocabulary, groups)
+    weights, _ = fit(sample, swapped, sparsity=sparsity, fairness=fairness, rounds=rounds)
     # The penalty that picks the features also shrinks their weights: fit those anew with less.
-    sample = sample.only(np.flatnonzero(weights))
-    weights, bias = fit(
-        sample, swaps(sample, groups), sparsity=sparsity / 10, fairness=fairness, rounds=rounds
-    )
+    chosen = np.flatnonzero(weights)
+    swapped, sample = swapped.only(chosen, len(weights)), sample.only(chosen)
+    weights, bias = fit(sample, swapped, sparsity=sparsity / 10, fairness=fairness, rounds=rounds)
     return Model({f: float(w) for f, w in zip(sample.vocabulary, weights) if w}, float(bias))
 
 

@@ -78,6 +78,38 @@ def test_counterfactuals_clear_group_names(spark):
     assert fair.score(b"you are vile trash") > 0.5
 
 
+def test_neutral_mentions_score_alike(spark):
+    """At the fairness in use, no name keeps weight in itself or in its beginnings."""
+    insults = [f"{a}{b}" for a in ("vile", "scum", "filth", "trash") for b in "abcde"]
+    remarks = [f"{a}{b}" for a in ("river", "garden", "supper", "letter") for b in "abcde"]
+    texts = []
+    for i in range(600):
+        name = ("muslims", "gay", "black", "immigrants")[i % 4]
+        other = ("christians", "straight", "white", "citizens")[i % 4]
+        texts.append((f"those {name} and their {insults[i // 4 % 20]}", 1))
+        texts.append((f"those {other} and their {remarks[i // 4 % 20]}", 0))
+    model = toxicity.train(*_labelled(spark, texts))
+    scores = {
+        name: model.score(f"those {name} and their rivera".encode())
+        for group in toxicity.IDENTITY_TERMS for name in group
+    }
+    assert max(scores.values()) < 0.7, scores
+    assert max(scores.values()) - min(scores.values()) < 0.1, scores
+    assert model.score(b"those people and their vilea") >= 0.7
+
+
+def test_swaps_change_whole_feature_sets():
+    """A beginning that another word keeps alive is not gone; all names also go at once."""
+    groups = (("muslim", "hindu"),)
+    swapped = toxicity.text_swaps(b"a muslim must hindu", groups)
+    hindu, muslim = {"hindu", "^hin", "^hind", "^hindu"}, {"muslim", "^musl", "^musli", "^muslim"}
+    assert swapped == [(hindu, set())] * 2 + [(muslim, set())] * 2 + [(hindu | muslim, set())]
+    alone = toxicity.text_swaps(b"a muslim", groups)
+    before, after = toxicity.features(b"a muslim"), toxicity.features(b"a hindu")
+    assert alone[0] == (before - after, after - before)
+    assert toxicity.text_swaps(b"nobody", groups) == []
+
+
 def test_dual_coordinate_descent_solves_the_dual():
     """At the end no single coordinate of the dual can still move."""
     draw = np.random.default_rng(0)
