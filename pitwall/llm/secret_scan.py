@@ -3,8 +3,10 @@
 Three fixed rules find assigned values, access keys and long hexadecimal numbers. Further secrets
 are found by their format: labelled credentials of a kind form a prefix tree, whose states are
 merged where a Hoeffding bound sees no difference between their distributions. The result is a
-small probabilistic automaton per kind. Every candidate word is scored by its likelihood under each
-automaton against that of random text, and added where the best one is convincing.
+small probabilistic automaton per kind. Every run of credential characters is tried from its start
+and from behind each mark in it, up to its end and up to each mark, so that assigned values and
+parts of URLs and paths are found. A candidate is scored by its likelihood under each automaton
+against that of random text, and added where one is convincing.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import math
 import random
 import re
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +36,15 @@ _HEX = re.compile(rb"[0-9a-f]{32,}")
 _IS_HEX = bytes(1 if chr(i) in "0123456789abcdef" else 0 for i in range(256))
 _HEX_RUN = b"\x01" * 32
 
-#: Candidates: words of credential characters, this long at least.
+#: Candidates are this long at least, or as long as the shortest labelled credential of a kind.
 SHORTEST = 16
-_CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=-]{16,}")
+_RUN = r"[A-Za-z0-9+/_.=-]{%d,}"
+#: A candidate starts behind no letter or digit, or behind an escape, and ends before a mark.
+_OPENING = re.compile(
+    rb"(?<![A-Za-z0-9])[A-Za-z0-9+/_.=-]|(?:(?<=%[0-9A-Fa-f]{2})|(?<=\\[nrt]))[A-Za-z0-9+/_.=-]"
+)
+_MARKS = b"+/_.=-"
+_CLOSING = b".=-"
 _ALPHABET = 64
 
 # Public credential formats as (kind, prefix, characters, length after the prefix).
@@ -93,8 +102,10 @@ class Automaton:
         self.seen: list[dict[int, int]] = [{}]
         self.ends: list[int] = [0]
         self.total: list[int] = [0]
+        self.shortest = SHORTEST
         for value in values:
             self._insert(value)
+            self.shortest = min(self.shortest, max(1, len(value)))
         self.alphabet = {mark for seen in self.seen for mark in seen if mark < 0 or mark in b"+/_.=-"}
         self._merge_states()
 
@@ -197,6 +208,42 @@ class Automaton:
             total -= math.log(_CLASS_SIZE.get(mark, 1))
         return total + math.log(max(UNSEEN, self.ends[state] / self.total[state]))
 
+    def longest_end(self, data: bytes, begin: int, stop: int, least: float) -> int:
+        """End of the longest convincing candidate from ``begin``, in a run that ends at ``stop``.
+
+        Convincing is a likelihood that beats random text by ``least``. A candidate ends with the
+        run or before a mark, not behind closing punctuation, and is no plain word. Without any,
+        the result is ``begin``.
+        """
+        state, ratio, found = 0, 0.0, begin
+        for i in range(stop - begin):
+            octet = data[begin + i]
+            mark = octet if i < self.literal else symbol(octet)
+            times = self.seen[state].get(mark, 0)
+            if times:
+                ratio += math.log(times / self.total[state])
+                state = self.next[state][mark]
+            elif i >= self.literal and mark in self.alphabet:
+                ratio += math.log(UNSEEN)
+            else:
+                break
+            ratio += math.log(_ALPHABET / _CLASS_SIZE.get(mark, 1))
+            end = begin + i + 1
+            if (
+                i + 1 >= self.shortest
+                and (end == stop or data[end] in _MARKS)
+                and octet not in _CLOSING
+                and ratio + math.log(max(UNSEEN, self.ends[state] / self.total[state])) >= least
+                and not _plain(data[begin:end])
+            ):
+                found = end
+        return found
+
+
+def _plain(value: bytes) -> bool:
+    """True for a plain word: no digit, mark or inner capital."""
+    return value.isalpha() and (value.islower() or value.istitle())
+
 
 def learn(credentials: Iterable[tuple[str, str]], alpha: float = 0.05) -> dict[str, Automaton]:
     """An automaton for each kind of labelled credentials."""
@@ -224,25 +271,33 @@ def learned_spans(
 ) -> list[tuple[int, int, int]]:
     """Candidates whose likelihood beats random text by ``least`` (natural logarithm).
 
-    Random text picks each of 64 characters alike. Candidates inside a span of the fixed rules are
-    left to those.
+    Random text picks each of 64 characters alike. At a start the longest convincing candidate
+    counts, and the search goes on behind it. Candidates inside a span of the fixed rules are left
+    to those.
     """
+    automata = list(automata)
+    shortest = min((a.shortest for a in automata), default=SHORTEST)
+    first = {octet for a in automata for octet in a.seen[0]}
     found = []
-    for match in _CANDIDATE.finditer(data):
-        begin, end = match.start(), match.end()
-        while data[end - 1] in b".=-" and end - begin > SHORTEST:  # closing punctuation
-            end -= 1
-        value = data[begin:end]
-        if value.isalpha() and (value.islower() or value.istitle()):
-            continue  # a plain word has no digit or inner capital
-        if any(start <= begin and end <= stop for start, stop, _ in base):
-            continue
-        chance = -len(value) * math.log(_ALPHABET)
-        if any(a.log_likelihood(value) - chance >= least for a in automata):
-            found.append((begin, end, len(KINDS)))
+    for match in _runs(shortest).finditer(data):
+        stop, done = match.end(), match.start()
+        for opening in _OPENING.finditer(data, match.start(), stop):
+            begin = opening.start()
+            if begin < done or data[begin] not in first:
+                continue
+            end = max(a.longest_end(data, begin, stop, least) for a in automata)
+            if end > begin and not any(s <= begin and end <= e for s, e, _ in base):
+                found.append((begin, end, len(KINDS)))
+                done = end
     return found
 
 
+@cache
+def _runs(shortest: int) -> re.Pattern[bytes]:
+    """Runs of credential characters of a least length."""
+    return re.compile((_RUN % shortest).encode())
+
+
 def _named(data: bytes, spans: list[tuple[int, int, int]]) -> list[str]:
     """``kind:start:end`` with positions in code points."""
     names = (*KINDS, LEARNED)

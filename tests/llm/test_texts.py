@@ -216,6 +216,40 @@ def test_secret_automata_generalise():
         assert all(a.log_likelihood(word) == -float("inf") for a in automata.values())
 
 
+FORGE, MAP = "ghp_aB3dE5gH1jK2mN4pQ6rS8tU0vW9xYzAbCdEf", "AIza" + "Sy3B_x9Qw" * 3 + "Zk7Lm2Np"
+CHAT, PAYMENT = "xoxb-" + "7a8B9c0D" * 5, "sk_live_" + "4eC39Hq7" * 3
+
+
+@pytest.mark.parametrize(
+    ("before", "secret", "after"),
+    [
+        ("GITHUB_PAT=", FORGE, ""),
+        ("see https://maps.example.com/api?key=", MAP, "&zoom=3"),
+        ("https://hooks.example.com/services/", CHAT, "/send"),
+        ("GET host.example.com/", PAYMENT, "/charges.json"),
+        ("export A=b.c-d+", FORGE, "."),
+        ("https://x.org/?next=a%3D", FORGE, ""),
+        ("\"one\\n", FORGE, "\""),
+        ("", f"{FORGE}", ".txt"),
+    ],
+)
+def test_secrets_inside_runs(before, secret, after):
+    automata = list(secret_scan.learn(secret_scan.default_credentials()).values())
+    data = f"{before}{secret}{after} end".encode()
+    begin = len(before)
+    got = secret_scan.learned_spans(data, automata, secret_scan.base_spans(data), 6.0)
+    assert got == [(begin, begin + len(secret), 3)]
+
+
+def test_short_labelled_credentials_are_found():
+    draw = random.Random(3)
+    labelled = [("door", "kx7-" + "".join(draw.choices("0123456789", k=7))) for _ in range(200)]
+    automata = list(secret_scan.learn(labelled).values())
+    assert secret_scan.learned_spans(b"code=kx7-5550123, kx7-12 and words", automata, [], 6.0) == [
+        (5, 16, 3)
+    ]
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(SECRETS)] + [(9, None), (10, "plain")],
                                  "doc_id long, text string")
