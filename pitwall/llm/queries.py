@@ -135,6 +135,12 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(docs, benchmark).drop("n_near")
 
 
+def op10_near_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The full result of the method: phrases as in op10_decontamination, and near matches."""
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontamination.contamination(docs, benchmark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -146,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_url_filters": op9_url_filters,
     "op10_decontamination": op10_decontamination,
+    "op10_near_matches": op10_near_matches,
 }
 
 ORACLES: dict[str, str] = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 from datetime import date
 
 import numpy as np
@@ -177,6 +178,46 @@ def test_contamination_equals_brute_force(spark, block):
     assert [(r["n_hit"], r["n_near"]) for r in rows if r["doc_id"] == 6 and r["n_words"] == 10] == [(0, 1)]
 
 
+def plain_near(texts, items):
+    """Items with a near match or phrase in each text: all words around the rarest one."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def words(value):
+        return word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), value or ""))
+
+    spoken = [words(text) for text in texts]
+    often = Counter(term for own in spoken for term in own)
+    near = [set() for _ in texts]
+    for item, value in items:
+        terms = words(value)
+        n = min(10, len(terms))
+        for begin in range(len(terms) - n + 1) if n and item is not None else ():
+            gram = terms[begin : begin + n]
+            rarest = min(gram, key=lambda term: (often[term], term))
+            for own, found in zip(spoken, near):
+                if any(
+                    term == rarest and set(gram) <= set(own[max(0, at - 14) : at + 15])
+                    for at, term in enumerate(own)
+                ):
+                    found.add(item)
+    return [len(found) for found in near]
+
+
+def test_near_matches_are_returned(spark, tmp_path):
+    """The query names documents whose words are reordered or interspersed, too."""
+    mixed = "alpha x beta y gamma delta z epsilon zeta eta theta iota kappa"
+    texts = [text for _, text in PASSAGES] + [mixed, None, "nothing here"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    rows = sorted(QUERIES["op10_near_matches"](spark, str(tmp_path)).collect())
+    assert [row["n_near"] for row in rows] == plain_near(texts, ITEMS)
+    assert (rows[7]["n_hit"], rows[7]["n_near"]) == (0, 1)
+
+
 def test_contamination_of_nothing(spark, nothing, awkward):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontamination.contamination(nothing, benchmark).count() == 0
