@@ -57,6 +57,32 @@ def per_text(
     return F.arrow_udf(apply, schema)
 
 
+def per_row(
+    fields: dict[str, str], make: Callable[[], Callable[..., tuple]]
+) -> Callable[..., Column]:
+    """Like :func:`per_text` for several string columns; null values come as None.
+
+    A field may also be of another type, given as a pair of its DDL and its Arrow type.
+    """
+    kinds = {name: kind if isinstance(kind, tuple) else (kind, _ARROW[kind])
+             for name, kind in fields.items()}
+    arrow = [pa.field(name, own) for name, (_, own) in kinds.items()]
+    schema = T.StructType.fromDDL(", ".join(f"{name} {ddl}" for name, (ddl, _) in kinds.items()))
+
+    def apply(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        function = make()
+        for columns in batches:
+            values = [column.cast(pa.binary()).to_pylist() for column in columns]
+            rows = [function(*row) for row in zip(*values, strict=True)]
+            parts = list(zip(*rows, strict=True)) if rows else [[] for _ in arrow]
+            yield pa.StructArray.from_arrays(
+                [pa.array(part, field.type) for part, field in zip(parts, arrow, strict=True)],
+                fields=arrow,
+            )
+
+    return F.arrow_udf(apply, schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """True where the checksum of the id says that labels must not be learned from.
 

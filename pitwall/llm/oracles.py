@@ -73,3 +73,40 @@ SELECT page_id, url, nullif(host, '') AS host, fetched,
        CASE k WHEN 3 THEN 'allow' WHEN 2 THEN 'block' ELSE 'none' END AS verdict,
        pattern, valid_from, valid_to
 FROM q WHERE rn = 1"""
+
+_TERMS = (
+    "list_filter(regexp_split_to_array(translate(coalesce(text, ''), "
+    "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+)
+
+SOURCE_DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang,
+                  coalesce(source, '') AS source, {_TERMS} AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS whole FROM t GROUP BY lang, term
+      HAVING count(DISTINCT rid) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN k USING (lang, term)
+      GROUP BY t.lang, t.source, t.term),
+f AS (SELECT g.lang, g.source, k.term, k.whole, coalesce(c.n, 0) AS n
+      FROM g JOIN k ON g.lang = k.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n,
+             CAST(1 + 1000000000 * (n + 1) // (sum(n) OVER s + count(*) OVER s) AS BIGINT) AS p,
+             CAST(1 + 1000000000 * (whole + 1) // (sum(whole) OVER s + count(*) OVER s) AS BIGINT)
+               AS q
+      FROM f WINDOW s AS (PARTITION BY lang, source)),
+x AS (SELECT a.lang, a.source, b.source AS item,
+             CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+      GROUP BY a.lang, a.source, b.source),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part
+                                        ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, rank FROM r
+WHERE part = 'pair' OR rank <= 200"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,10 +14,12 @@ from pitwall.llm import (
     decontamination,
     html_extract,
     oracles,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secret_scan,
     simhash,
+    source_divergence,
     token_counts,
     toxicity,
     url_filters,
@@ -141,6 +144,53 @@ def op10_near_matches(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(docs, benchmark)
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Distance of every source to the others of its language, and its dearest terms."""
+    return source_divergence.source_divergence(table(spark, folder, "documents"))
+
+
+def planted_repeats(words: list[bytes], key: bytes | None) -> list[bytes]:
+    """In texts that the checksum of the id chooses, the words repeat from some place on."""
+    checksum, count = zlib.crc32(key or b""), len(words)
+    if key is None or checksum % 10 or not count:
+        return words
+    drawn = checksum // 10
+    start = drawn % count
+    period = 1 + (count - start) // (3 + drawn % 8)
+    cycle, left = words[start : start + period], count - start
+    return words[:start] + (cycle * (left // period + 1))[:left]
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document: the strongest one, and digests of all and of the rest."""
+    found = periodic_runs.periodic_runs(table(spark, folder, "documents"), prepare=planted_repeats)
+    run = "struct<start: bigint, length: bigint, period: bigint>"
+    # Runs come by start and period, so of equals the first one stays.
+    best = F.aggregate(
+        "runs",
+        F.lit(None).cast(run),
+        lambda kept, other: F.when(
+            kept.isNull()
+            | (other["length"] * kept["period"] > kept["length"] * other["period"]),
+            other,
+        ).otherwise(kept),
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    every = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(every, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -153,9 +203,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filters": op9_url_filters,
     "op10_decontamination": op10_decontamination,
     "op10_near_matches": op10_near_matches,
+    "op11_source_divergence": op11_source_divergence,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
     "op9_url_filters": oracles.URL_FILTERS,
     "op10_decontamination": oracles.DECONTAMINATION,
+    "op11_source_divergence": oracles.SOURCE_DIVERGENCE,
 }
