@@ -13,6 +13,7 @@ from pitwall.llm import (
     bpe,
     decontamination,
     html_extract,
+    lm_scoring,
     oracles,
     periodic_runs,
     quality_classifier,
@@ -149,6 +150,12 @@ def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return source_divergence.source_divergence(table(spark, folder, "documents"))
 
 
+def op12_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every document under a Pitman-Yor model of six sevenths of them."""
+    docs = table(spark, folder, "documents")
+    return lm_scoring.lm_scores(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 def planted_repeats(words: list[bytes], key: bytes | None) -> list[bytes]:
     """In texts that the checksum of the id chooses, the words repeat from some place on."""
     checksum, count = zlib.crc32(key or b""), len(words)
@@ -204,6 +211,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "op10_near_matches": op10_near_matches,
     "op11_source_divergence": op11_source_divergence,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
