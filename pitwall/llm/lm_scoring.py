@@ -15,6 +15,7 @@ text is the sum of the logarithms of the mean probabilities.
 from __future__ import annotations
 
 import struct
+from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -44,6 +45,8 @@ HASHED = 1 << 62
 HELD_TOKENS = 2_000_000
 BUCKET_TOKENS = 1_500_000
 _HELD_WORDS = 1_000_000
+#: Rows of an Arrow batch of numbers; batches of texts are smaller.
+BATCH_NUMBERS = 50_000
 _ROWS = 50_000
 #: Bins of one doubling in the histogram that finds the most frequent words.
 _BINS = 64
@@ -67,24 +70,28 @@ CELL, BY_CONTEXT, BY_WORD = 0, 1, 2
 
 
 @contextmanager
-def _lean(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of a job go when it has ended; its result lies in the shared folder."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session for a while."""
+    names = {"cleanup": _CLEANUP, "batch": "spark.sql.execution.arrow.maxRecordsPerBatch"}
+    before = {name: spark.conf.get(names[name], None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(names[name], value)
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(names[name]) if value is None else spark.conf.set(names[name], value)
 
 
-def _written(frame: DataFrame, name: str) -> DataFrame:
-    with _lean(frame.sparkSession):
+def _written(frame: DataFrame, name: str, batch: int = BATCH_NUMBERS) -> DataFrame:
+    """A table in the shared folder; the shuffle files of its job go when it is there."""
+    with _settings(frame.sparkSession, cleanup="true", batch=str(batch)):
         return common.written(frame, name)
 
 
 def _collected(frame: DataFrame) -> pa.Table:
     """A table of bounded size at the driver."""
-    with _lean(frame.sparkSession):
+    with _settings(frame.sparkSession, cleanup="true"):
         return frame.toArrow()
 
 
@@ -109,37 +116,33 @@ def is_coded(code: Column) -> Column:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n, train) of all texts and of those not held out; the empty word ends a text."""
 
-    def passed_on(counts: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-        words, packed = list(counts), list(counts.values())
+    def passed_on(out: Counter, learned: Counter) -> Iterator[pa.RecordBatch]:
+        words = list(out.keys() | learned.keys())
         for at in range(0, len(words), _ROWS):
-            part = packed[at : at + _ROWS]
+            part = words[at : at + _ROWS]
+            train = np.fromiter(map(learned.__getitem__, part), np.int64, len(part))
+            other = np.fromiter(map(out.__getitem__, part), np.int64, len(part))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(words[at : at + _ROWS], pa.binary()).cast(pa.string()),
-                    pa.array([n & 0xFFFFFFFF for n in part], pa.int64()),
-                    pa.array([n >> 32 for n in part], pa.int64()),
+                    pa.array(part, pa.binary()).cast(pa.string()),
+                    pa.array(train + other),
+                    pa.array(train),
                 ],
                 schema=_WORDS,
             )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
-        held = 0
+        out, learned = Counter(), Counter()
         for batch in batches:
-            out, data = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
-            for held_out, text in zip(out, data, strict=True):
-                # Both counts share one number.
-                step = 1 if held_out else 1 + (1 << 32)
-                known = counts.get
-                words = tokens_of(text)
-                for word in words:
-                    counts[word] = known(word, 0) + step
-                counts[b""] = known(b"", 0) + step
-                held += len(words) + 1
-                if len(counts) > _HELD_WORDS or held > 1 << 31:
-                    yield from passed_on(counts)
-                    counts, held = {}, 0
-        yield from passed_on(counts)
+            held, data = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
+            for held_out, text in zip(held, data, strict=True):
+                counts = out if held_out else learned
+                counts.update(tokens_of(text))
+                counts[b""] += 1
+            if len(out) + len(learned) > _HELD_WORDS:
+                yield from passed_on(out, learned)
+                out, learned = Counter(), Counter()
+        yield from passed_on(out, learned)
 
     partial = texts.select("held", "text").mapInArrow(count, "word string, n long, train long")
     return partial.groupBy("word").agg(F.sum("n").alias("n"), F.sum("train").alias("train"))
@@ -321,7 +324,7 @@ def stored_tokens(texts: DataFrame, shared, buckets: int) -> DataFrame:
     id_type = to_arrow_type(texts.schema["doc_id"].dataType)
     schema = pa.schema([("doc_id", id_type), *_TOKENS])
     rows = texts.select("doc_id", "held", "text").mapInArrow(read, f"doc_id {doc_id}, {TOKENS}")
-    return _written(rows, "tokens")
+    return _written(rows, "tokens", common.BATCH_ROWS)
 
 
 # Cells -------------------------------------------------------------------------------------
@@ -515,11 +518,10 @@ class _Sampler:
         model.parent.append(probability(served, seated))
         model.lone.append(probability(1, 1))
         model.unknown.append(unknown)
-        self.others = _written(
+        self.others = (
             self.others.withColumn("parent", probability(F.col("served"), F.col("seated")))
             .withColumn("all_tables", F.concat("all_tables", F.array("tables")))
-            .withColumn("all_parents", F.concat("all_parents", F.array("parent"))),
-            "others",
+            .withColumn("all_parents", F.concat("all_parents", F.array("parent")))
         )
         shared.unpersist()
 
@@ -609,6 +611,15 @@ def coded_scores(tokens: DataFrame, shared, buckets: int) -> DataFrame:
     return _by_bucket(tokens, buckets).applyInArrow(score, "rid long, score double")
 
 
+def _by_sample(lists: pa.ListArray, otherwise: np.ndarray) -> np.ndarray:
+    """Lists of one value for each sample as rows, and ``otherwise`` where there is none."""
+    rows = np.tile(otherwise, (len(lists), 1))
+    given = lists.is_valid().to_numpy(zero_copy_only=False)
+    values = lists.drop_null().flatten().to_numpy(zero_copy_only=False)
+    rows[given] = values.reshape(-1, len(otherwise))
+    return rows
+
+
 def uncoded_scores(rare: DataFrame, cells: DataFrame, stats: DataFrame, shared) -> DataFrame:
     """(rid, score, base, known): what the pairs with an uncoded word of a text add.
 
@@ -631,22 +642,17 @@ def uncoded_scores(rare: DataFrame, cells: DataFrame, stats: DataFrame, shared)
             u_coded, w_coded = u < HASHED, w < HASHED
             customers = np.where(u_coded, 0, np.nan_to_num(u_train)).astype(np.int64)
             customers[u_coded] = model.train[u[u_coded]]
-            u_given, w_given = u_tables.to_pylist(), w_parents.to_pylist()
-
-            def tables(s: int) -> np.ndarray:
-                # A context seen once has one table.
-                own = np.array([1.0 if x is None else x[s] for x in u_given])
-                own[u_coded] = model.tables[s][u[u_coded]]
-                return own
-
-            def parent(s: int) -> np.ndarray:
-                never = np.nan_to_num(w_train) == 0
-                own = np.array([model.lone[s] if x is None else x[s] for x in w_given])
-                own[never] = model.unknown[s]
-                own[w_coded] = model.parent[s][w[w_coded]]
-                return own
-
-            mean = _mean(model, logs, u, w, n.astype(np.int64), customers, tables, parent)
+            # A context seen once has one table.
+            tables = _by_sample(u_tables, np.ones(len(model.tables)))
+            parents = _by_sample(w_parents, np.array(model.lone))
+            parents[(np.nan_to_num(w_train) == 0) & ~w_coded] = model.unknown
+            for sample, (own, above) in enumerate(zip(model.tables, model.parent, strict=True)):
+                tables[u_coded, sample] = own[u[u_coded]]
+                parents[w_coded, sample] = above[w[w_coded]]
+            mean = _mean(
+                model, logs, u, w, n.astype(np.int64), customers,
+                lambda s, rows=tables: rows[:, s], lambda s, rows=parents: rows[:, s],
+            )
             yield pa.array(np.log10(mean))
 
     logarithm = F.arrow_udf(value, "double")
@@ -686,7 +692,7 @@ def lm_scores(
         F.coalesce(held, F.lit(True)).alias("held"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    words = _written(word_counts(texts), "words")
+    words = _written(word_counts(texts), "words", common.BATCH_ROWS)
     totals = words.agg(
         F.sum("train"), F.count_if(F.col("train") > 0), F.sum("n"),
         F.count_if(F.col("train") == 1), F.count_if(F.col("train") == 2),

@@ -66,6 +66,8 @@ def sample_tables(
     random. So a cell costs the logarithm of its customers.
     """
     tables = (count > 0).astype(np.int64)
+    if not len(count):
+        return tables
     first = np.minimum(count, BLOCK)
     log_weight = np.log(weight)
     chance = uniform(bits)
