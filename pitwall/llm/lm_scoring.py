@@ -2,14 +2,16 @@
 
 A first pass counts words. The most frequent ones, at most ``coded``, get small codes, and what
 the model knows of them travels as broadcast arrays of bounded size; every other word is known by
-a 62-bit hash of its bytes. A second pass stores the tokens of all texts as pairs (context, word):
-pairs of coded words packed by a bucket of their hash, pairs with an uncoded word as plain rows.
-
-Counting, sampling and scoring then work on buckets and rows in parallel. A sweep of the sampler
-seats all cells (pairs seen twice or more; a lone customer has a table of its own) at once, given
-the table counts and the parent of the sweep before; tables are summed by context and by word, and
-the parent is seated anew. Each sample kept gives a probability to every pair, and the score of a
-text is the sum of the logarithms of the mean probabilities.
+a 62-bit hash of its bytes. A second pass stores the tokens of all texts as pairs (context, word),
+packed by bucket: pairs of coded words by a hash of the pair, so that no frequent word makes a
+large bucket, pairs with one uncoded word by that word. The few pairs of two uncoded words are
+plain rows; both buckets also hear of them, so that each uncoded word is counted in one place.
+
+Counting, sampling and scoring then work on buckets in parallel. A sweep of the sampler seats all
+cells (pairs seen twice or more; a lone customer has a table of its own) at once, given the table
+counts and the parent of the sweep before; tables are summed by context and by word, and the
+parent is seated anew. Each sample kept gives a probability to every pair, and the score of a text
+is the sum of the logarithms of the mean probabilities.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ from pitwall.llm.pitman_yor import (
 START, END, FIRST = 0, 1, 2
 #: Codes from here on are hashes of uncoded words.
 HASHED = 1 << 62
+#: Stands for an uncoded partner.
+NO_PARTNER = 1 << 40
 #: Tokens that a task holds before it packs them, and tokens of one bucket at most, about.
 HELD_TOKENS = 2_000_000
 BUCKET_TOKENS = 1_500_000
@@ -53,20 +57,28 @@ _BINS = 64
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-TOKENS = """rid long, bucket int, payload binary, u long, w long, held boolean, n_tokens long,
-    n_known long, base double"""
+TOKENS = """kind int, rid long, bucket int, payload binary, u long, w long, held boolean,
+    n_tokens long, n_known long, base double"""
 _TOKENS = pa.schema(
     [
-        ("rid", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary()), ("u", pa.int64()),
-        ("w", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()),
-        ("n_known", pa.int64()), ("base", pa.float64()),
+        ("kind", pa.int32()), ("rid", pa.int64()), ("bucket", pa.int32()),
+        ("payload", pa.binary()), ("u", pa.int64()), ("w", pa.int64()), ("held", pa.bool_()),
+        ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
     ]
 )
+#: Kinds of rows of ``TOKENS``: a text, packed pairs of coded words, packed pairs with one uncoded
+#: word, and a pair of two uncoded words.
+TEXT, CODED, MIXED, UNCODED = 0, 1, 2, 3
 _WORDS = pa.schema([("word", pa.string()), ("n", pa.int64()), ("train", pa.int64())])
-CELLS = "role int, u long, w long, n long"
-_CELLS = pa.schema([("role", pa.int32()), ("u", pa.int64()), ("w", pa.int64()), ("n", pa.int64())])
-#: Roles of rows of ``CELLS``: a cell, and sums by context (``u``) and by word (``w``).
-CELL, BY_CONTEXT, BY_WORD = 0, 1, 2
+CELLS = "role int, u long, w long, n long, payload binary"
+_CELLS = pa.schema(
+    [("role", pa.int32()), *[(name, pa.int64()) for name in "uwn"], ("payload", pa.binary())]
+)
+#: Roles of rows of ``CELLS``: a cell; sums by context and by word, of one code (``u``) or packed
+#: for a block of coded words; an uncoded word in training (``w`` times), and how many are lone.
+CELL, BY_CONTEXT, BY_WORD, SEEN, LONE = 0, 1, 2, 3, 4
+#: Coded words whose sums are packed in one row.
+BLOCK_CODES = 1 << 14
 
 
 @contextmanager
@@ -152,8 +164,8 @@ def _bin(n: Column) -> Column:
     return F.floor(F.log2(n) * _BINS).cast("int")
 
 
-def coded_words(words: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, int]:
-    """The most frequent words, at most ``most``, their training counts, and their least bin.
+def coded_words(words: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
+    """The most frequent words, at most ``most``, and their training counts.
 
     A histogram of logarithmic bins tells which counts to collect, so no ranking is needed.
     """
@@ -166,7 +178,7 @@ def coded_words(words: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, i
         least, taken = number, taken + size
     rows = _collected(real.filter(F.col("bin") >= least).select("word", "train").orderBy("word"))
     chosen = rows.column(0).cast(pa.binary()).to_pylist()
-    return chosen, rows.column(1).to_numpy().astype(np.int64), least
+    return chosen, rows.column(1).to_numpy().astype(np.int64)
 
 
 # Tokens ------------------------------------------------------------------------------------
@@ -198,7 +210,7 @@ def unpacked(data: bytes) -> list[np.ndarray]:
 
 
 def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of each pair of codes, whichever task holds it."""
+    """Bucket of each pair or code, whichever task holds it."""
     return (noise(key, key, 0) % np.uint64(buckets)).astype(np.int32)
 
 
@@ -209,41 +221,86 @@ class _Codes(dict):
         return hashed_code(word)
 
 
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """First positions of runs of equal rows."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = False
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _spans(column: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, start, end) of each value of a sorted column."""
+    values, starts = np.unique(column, return_index=True)
+    ends = np.append(starts, len(column))[1:]
+    return list(zip(values.tolist(), starts.tolist(), ends.tolist(), strict=True))
+
+
 class _Tokens:
-    """Pairs of coded words of the texts of one task so far."""
+    """Pairs of the texts of one task so far.
+
+    A pair with one uncoded word is that word, and a side: the code of its partner in the upper
+    bits (``NO_PARTNER`` for an uncoded one, which is not scored here) and whether it is the word.
+    """
 
     def __init__(self, buckets: int) -> None:
         self.buckets = buckets
         self.rids: list[int] = []
         self.out: list[bool] = []
-        self.keys: list[np.ndarray] = []
+        self.coded: list[np.ndarray] = []
+        self.mixed: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, rid: int, held_out: bool, keys: np.ndarray) -> None:
+    def add(self, rid: int, held_out: bool, u: np.ndarray, w: np.ndarray) -> None:
+        u_coded, w_coded = u < HASHED, w < HASHED
+        both = u_coded & w_coded
         self.rids.append(rid)
         self.out.append(held_out)
-        self.keys.append(keys)
-        self.held += len(keys)
+        self.coded.append(u[both] << 32 | w[both])
+        word, context = np.flatnonzero(~w_coded), np.flatnonzero(~u_coded)
+        partners = np.where(u_coded[word], u[word], NO_PARTNER), np.where(
+            w_coded[context], w[context], NO_PARTNER
+        )
+        self.mixed.append(
+            (np.r_[w[word], u[context]], np.r_[partners[0] << 1 | 1, partners[1] << 1])
+        )
+        self.held += len(u)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        """One packed row for each bucket: pair, text and repeats, with the texts it names."""
-        if not self.keys:
+        """One packed row for each kind and bucket: pair, text and repeats, and the texts' ids."""
+        if not self.held:
             return
-        key = np.concatenate(self.keys)
-        text = np.repeat(np.arange(len(self.keys), dtype=np.int32), [len(k) for k in self.keys])
+        key = np.concatenate(self.coded)
+        text = self._texts(self.coded)
         order = np.argsort(key, kind="stable")
         key, text = key[order], text[order]
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
-        first = np.flatnonzero(new)
-        times = np.diff(np.r_[first, len(key)]).astype(np.int32)
-        key, text = key[first], text[first]
-        bucket = bucket_of(key, self.buckets)
+        first = _runs(key, text)
+        times = np.diff(np.r_[first, len(key)])
+        key = key[first]
+        yield from self._by_bucket(CODED, bucket_of(key, self.buckets), text[first], times, key)
+        code, side = (np.concatenate(part) for part in zip(*self.mixed, strict=True))
+        text = self._texts([code for code, _ in self.mixed])
+        order = np.lexsort((text, side, code))
+        code, side, text = code[order], side[order], text[order]
+        first = _runs(code, side, text)
+        times = np.diff(np.r_[first, len(code)])
+        code, side = code[first], side[first]
+        bucket = bucket_of(code, self.buckets)
+        yield from self._by_bucket(MIXED, bucket, text[first], times, code, side)
+
+    def _texts(self, parts: list[np.ndarray]) -> np.ndarray:
+        return np.repeat(np.arange(len(parts), dtype=np.int32), [len(part) for part in parts])
+
+    def _by_bucket(
+        self, kind: int, bucket: np.ndarray, text: np.ndarray, times: np.ndarray,
+        key: np.ndarray, *more: np.ndarray,
+    ) -> Iterator[pa.RecordBatch]:
         order = np.argsort(bucket, kind="stable")
-        key, text, times, bucket = key[order], text[order], times[order], bucket[order]
+        columns = [column[order] for column in (bucket, text, times.astype(np.int32), key, *more)]
+        bucket, text, times, key, *more = columns
         rids, out = np.array(self.rids, np.int64), np.array(self.out, np.uint8)
-        present, starts = np.unique(bucket, return_index=True)
-        for number, start, end in zip(present, starts, np.r_[starts[1:], len(key)], strict=True):
+        for number, start, end in _spans(bucket):
             named, own = np.unique(text[start:end], return_inverse=True)
             payload = packed(
                 np.diff(key[start:end], prepend=0),
@@ -251,8 +308,9 @@ class _Tokens:
                 times[start:end],
                 np.diff(rids[named], prepend=0),
                 out[named],
+                *[column[start:end] for column in more],
             )
-            yield _token_rows(bucket=[int(number)], payload=[payload])
+            yield _token_rows(kind=[kind], bucket=[number], payload=[payload])
 
 
 def _token_rows(**columns: list) -> pa.RecordBatch:
@@ -268,7 +326,7 @@ def _token_rows(**columns: list) -> pa.RecordBatch:
 
 
 def stored_tokens(texts: DataFrame, shared, buckets: int) -> DataFrame:
-    """Rows of ``TOKENS``, written: one of each text, packed pairs, and pairs of uncoded words.
+    """Rows of ``TOKENS``, written, with the id of the text in rows of texts.
 
     The row of a text counts its tokens, and of its coded tokens how many are known and the sum
     of their base logarithms. ``shared`` holds the coded words and the base logarithm and
@@ -284,8 +342,10 @@ def stored_tokens(texts: DataFrame, shared, buckets: int) -> DataFrame:
         for batch in batches:
             ids, out = batch.column(0), batch.column(1).to_pylist()
             data = batch.column(2).cast(pa.binary()).to_pylist()
-            docs: dict[str, list] = {name: [] for name in ("rid", "held", "n_tokens", "n_known", "base")}
-            rare: dict[str, list] = {name: [] for name in ("rid", "held", "u", "w")}
+            docs: dict[str, list] = {
+                name: [] for name in ("kind", "rid", "held", "n_tokens", "n_known", "base")
+            }
+            rare: dict[str, list] = {name: [] for name in ("kind", "rid", "held", "u", "w")}
             for held_out, text in zip(out, data, strict=True):
                 rid += 1
                 tokens = tokens_of(text)
@@ -293,20 +353,20 @@ def stored_tokens(texts: DataFrame, shared, buckets: int) -> DataFrame:
                 codes[0], codes[-1] = START, END
                 codes[1:-1] = np.fromiter(map(lookup, tokens), np.int64, len(tokens))
                 u, w = codes[:-1], codes[1:]
-                small = w < HASHED
-                known = w[small]
-                both = small & (u < HASHED)
+                known = w[w < HASHED]
+                docs["kind"].append(TEXT)
                 docs["rid"].append(rid)
                 docs["held"].append(held_out)
                 docs["n_tokens"].append(len(w))
                 docs["n_known"].append(int((train[known] > 0).sum()))
                 docs["base"].append(float(base[known].sum()))
-                held.add(rid, held_out, u[both] << 32 | w[both])
-                others = np.flatnonzero(~both)
-                rare["rid"] += [rid] * len(others)
-                rare["held"] += [held_out] * len(others)
-                rare["u"] += u[others].tolist()
-                rare["w"] += w[others].tolist()
+                held.add(rid, held_out, u, w)
+                neither = np.flatnonzero((u >= HASHED) & (w >= HASHED))
+                rare["kind"] += [UNCODED] * len(neither)
+                rare["rid"] += [rid] * len(neither)
+                rare["held"] += [held_out] * len(neither)
+                rare["u"] += u[neither].tolist()
+                rare["w"] += w[neither].tolist()
                 if held.held > HELD_TOKENS:
                     yield from with_ids(held.batches(), None)
                     held = _Tokens(buckets)
@@ -331,51 +391,160 @@ def stored_tokens(texts: DataFrame, shared, buckets: int) -> DataFrame:
 
 
 def _cell_rows(role: int, u: np.ndarray, w: np.ndarray, n: np.ndarray) -> pa.Table:
-    columns = [pa.array(np.full(len(u), role, np.int32)), pa.array(u), pa.array(w), pa.array(n)]
-    return pa.Table.from_arrays(columns, schema=_CELLS)
+    columns = [np.full(len(u), role, np.int32), u, w, n]
+    return pa.Table.from_arrays([*map(pa.array, columns), pa.nulls(len(u), pa.binary())], schema=_CELLS)
+
+
+def _summed(code: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    code, inverse = np.unique(code, return_inverse=True)
+    return code, np.bincount(inverse, values, len(code)).astype(np.int64)
+
+
+def _sum_rows(role: int, code: np.ndarray, n: np.ndarray) -> pa.Table:
+    """Sums by code: packed blocks of coded words, a row for each other one."""
+    code, n = _summed(code, n)
+    coded = code < HASHED
+    rows = [_cell_rows(role, code[~coded], code[~coded], n[~coded])]
+    code, n = code[coded], n[coded]
+    for block, start, end in _spans(code // BLOCK_CODES):
+        payload = packed((code[start:end] % BLOCK_CODES).astype(np.int32), n[start:end])
+        row = {"role": [role], "u": [block], "w": [None], "n": [None], "payload": [payload]}
+        rows.append(pa.table(row, schema=_CELLS))
+    return pa.concat_tables(rows)
+
+
+def coded_sums(rows: DataFrame, size: int) -> dict[int, np.ndarray]:
+    """Arrays by code of the packed sums of each role, added up on the way to the driver."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK_CODES, np.int64)
+        for payload in table.column("payload").to_pylist():
+            code, n = unpacked(payload)
+            total[code] += n
+        role, block = table.column("role")[0].as_py(), table.column("u")[0].as_py()
+        code = np.flatnonzero(total)
+        return _sum_rows(role, code + block * BLOCK_CODES, total[code])
+
+    packed_rows = rows.filter("payload IS NOT NULL").groupBy("role", "u").applyInArrow(add, CELLS)
+    arrays = {role: np.zeros(size, np.int64) for role in (BY_CONTEXT, BY_WORD)}
+    for row in _collected(packed_rows).to_pylist():
+        code, n = unpacked(row["payload"])
+        arrays[row["role"]][code + row["u"] * BLOCK_CODES] = n
+    return arrays
 
 
 def _bucket(table: pa.Table) -> list[tuple[np.ndarray, ...]]:
-    """(key, text, times, rid, held out) of each packed row of a bucket."""
+    """(key, text, times, rid, held out, ...) of each packed row of a bucket."""
     parts = []
     for payload in table.column("payload").to_pylist():
-        key, text, times, rids, out = unpacked(payload)
-        parts.append((np.cumsum(key), text, times, np.cumsum(rids), out))
+        key, text, times, rids, out, *more = unpacked(payload)
+        parts.append((np.cumsum(key), text, times, np.cumsum(rids), out, *more))
     return parts
 
 
-def _counted(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the key of each entry, and the training count of each key."""
-    key = np.concatenate([part[0] for part in parts])
-    times = np.concatenate([np.where(out[text] > 0, 0, n) for _, text, n, _, out in parts])
-    distinct, inverse = np.unique(key, return_inverse=True)
-    return distinct, inverse, np.bincount(inverse, times, len(distinct)).astype(np.int64)
+def _in_training(parts: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+    """Repeats of each entry in its text, none for texts held out."""
+    return np.concatenate([np.where(out[text] > 0, 0, n) for _, text, n, _, out, *_ in parts])
+
+
+def _by_text(parts: list[tuple[np.ndarray, ...]], *values: np.ndarray) -> list[np.ndarray]:
+    """Ids of texts, and the sums over the entries of each text of each of ``values``."""
+    sums: list[list[np.ndarray]] = [[] for _ in range(len(values) + 1)]
+    at = 0
+    for key, text, times, rid, *_ in parts:
+        sums[0].append(rid)
+        for out, value in zip(sums[1:], values, strict=True):
+            out.append(np.bincount(text, value[at : at + len(key)] * times, len(rid)))
+        at += len(key)
+    return [np.concatenate(column) for column in sums]
 
 
 def _split(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key >> 32, key & 0xFFFFFFFF
 
 
+def _by_bucket(tokens: DataFrame, kind: int, buckets: int):
+    rows = tokens.filter(F.col("kind") == kind).select("bucket", "payload")
+    # Packed rows are small beside the work in them, so partitions are not to be merged by size.
+    return rows.repartition(buckets, "bucket").groupBy("bucket")
+
+
 def coded_cells(tokens: DataFrame, buckets: int) -> DataFrame:
     """Rows of ``CELLS`` of pairs of coded words: cells of two or more, and sums of the lone ones."""
 
     def count(table: pa.Table) -> pa.Table:
-        distinct, _, n = _counted(_bucket(table))
-        u, w = _split(distinct)
+        parts = _bucket(table)
+        key, n = _summed(np.concatenate([part[0] for part in parts]), _in_training(parts))
+        u, w = _split(key)
         several, once = n > 1, n == 1
-        out = [_cell_rows(CELL, u[several], w[several], n[several])]
-        for role, code in ((BY_CONTEXT, u[once]), (BY_WORD, w[once])):
-            code, lone = np.unique(code, return_counts=True)
-            out.append(_cell_rows(role, code, code, lone.astype(np.int64)))
-        return pa.concat_tables(out)
+        ones = n[once]
+        return pa.concat_tables([
+            _cell_rows(CELL, u[several], w[several], n[several]),
+            _sum_rows(BY_CONTEXT, u[once], ones),
+            _sum_rows(BY_WORD, w[once], ones),
+        ])
+
+    return _by_bucket(tokens, CODED, buckets).applyInArrow(count, CELLS)
+
+
+class _Mixed:
+    """A bucket of pairs with one uncoded word."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.parts = _bucket(table)
+        code = np.concatenate([part[0] for part in self.parts])
+        side = np.concatenate([part[5] for part in self.parts])
+        self.is_word = side & 1 == 1
+        training = _in_training(self.parts)
+        #: Uncoded words, their counts in training, and the one of each entry.
+        self.codes, self.own = np.unique(code, return_inverse=True)
+        self.train = np.bincount(
+            self.own[self.is_word], training[self.is_word], len(self.codes)
+        ).astype(np.int64)
+        #: Distinct cells: word, partner, whether the uncoded one is the word; the one of each entry.
+        order = np.lexsort((side, self.own))
+        first = _runs(self.own[order], side[order])
+        self.cell = np.empty(len(order), np.int64)
+        self.cell[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
+        self.cell_own, cell_side = self.own[order][first], side[order][first]
+        self.cell_partner, self.cell_is_word = cell_side >> 1, cell_side & 1 == 1
+        self.cell_n = np.bincount(self.cell, training, len(first)).astype(np.int64)
+        self.scored = self.cell_partner != NO_PARTNER
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Context and word of each cell."""
+        code = self.codes[self.cell_own]
+        return (
+            np.where(self.cell_is_word, self.cell_partner, code),
+            np.where(self.cell_is_word, code, self.cell_partner),
+        )
 
-    return _by_bucket(tokens, buckets).applyInArrow(count, CELLS)
 
+def mixed_cells(tokens: DataFrame, buckets: int) -> DataFrame:
+    """Rows of ``CELLS`` of pairs with one uncoded word, and of the uncoded words themselves."""
 
-def _by_bucket(tokens: DataFrame, buckets: int):
-    packed_rows = tokens.filter("bucket IS NOT NULL").select("bucket", "payload")
-    # Packed rows are small beside the work in them, so partitions are not to be merged by size.
-    return packed_rows.repartition(buckets, "bucket").groupBy("bucket")
+    def count(table: pa.Table) -> pa.Table:
+        mixed = _Mixed(table)
+        u, w = mixed.pairs()
+        n, several = mixed.cell_n, mixed.scored & (mixed.cell_n > 1)
+        once = mixed.scored & (n == 1)
+        ones = n[once]
+        again = mixed.train > 1
+        seen, lone = mixed.codes[again], np.array([(mixed.train == 1).sum()], np.int64)
+        # Sums of words seen once are known without a row.
+        sums = [_sum_rows(BY_CONTEXT, u[once], ones), _sum_rows(BY_WORD, w[once], ones)]
+        kept = [part.filter(pa.array(_wanted(part, seen))) for part in sums]
+        return pa.concat_tables([
+            _cell_rows(CELL, u[several], w[several], n[several]),
+            *kept,
+            _cell_rows(SEEN, seen, seen, mixed.train[again]),
+            _cell_rows(LONE, 0 * lone, 0 * lone, lone),
+        ])
+
+    def _wanted(rows: pa.Table, seen: np.ndarray) -> np.ndarray:
+        return (rows.column("u").to_numpy() < HASHED) | np.isin(rows.column("u").to_numpy(), seen)
+
+    return _by_bucket(tokens, MIXED, buckets).applyInArrow(count, CELLS)
 
 
 # Sampling ----------------------------------------------------------------------------------
@@ -452,20 +621,9 @@ def _drawn(cells: DataFrame, shared, sweep: int) -> DataFrame:
                     sums[role] = [_summed(*map(np.concatenate, zip(*sums[role])))]
         for role, parts in sums.items():
             if parts:
-                code, t = _summed(*map(np.concatenate, zip(*parts)))
-                for at in range(0, len(code), _ROWS):
-                    part = code[at : at + _ROWS]
-                    yield from _cell_rows(role, part, part, t[at : at + _ROWS]).to_batches()
-
-    columns = ["u", "w", "n", "u_tables", "w_parent"]
-    return (
-        cells.select(*columns).mapInArrow(draw, CELLS).groupBy("role", "u").agg(F.sum("n").alias("n"))
-    )
+                yield from _sum_rows(role, *map(np.concatenate, zip(*parts))).to_batches(_ROWS)
 
-
-def _summed(code: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    code, inverse = np.unique(code, return_inverse=True)
-    return code, np.bincount(inverse, values, len(code)).astype(np.int64)
+    return cells.select("u", "w", "n", "u_tables", "w_parent").mapInArrow(draw, CELLS)
 
 
 def _looked_up(by_code: np.ndarray, code: np.ndarray, given: np.ndarray) -> np.ndarray:
@@ -481,13 +639,13 @@ class _Sampler:
 
     def __init__(
         self, spark: SparkSession, model: Model, cells: DataFrame, others: DataFrame,
-        fixed: dict[int, np.ndarray], lone_words: int, base: float, parent_discount: float,
+        fixed: dict[int, np.ndarray], lone_words: int, distinct: int, parent_discount: float,
     ) -> None:
         self.spark, self.model, self.cells, self.others = spark, model, cells, others
         self.fixed, self.lone_words = fixed, lone_words
-        self.base, self.parent_discount = base, parent_discount
+        self.base, self.parent_discount = 1.0 / (distinct + 1), parent_discount
         self.top_logs = log_arrangements(parent_discount)
-        self.total_tables = float((model.train > 0).sum() + lone_words)
+        self.total_tables = float(distinct)
         self.codes = np.arange(len(model.train))
 
     def sweep(self, number: int) -> None:
@@ -495,12 +653,8 @@ class _Sampler:
         model = self.model
         shared = self.spark.sparkContext.broadcast(model)
         sums = _written(_drawn(self._with_others(), shared, number), "tables")
-        rows = _collected(sums.filter(is_coded(F.col("u"))))
-        role, code, n = (column.to_numpy() for column in rows.columns)
-        tables, served = self.fixed[BY_CONTEXT].copy(), self.fixed[BY_WORD].copy()
-        for array, wanted in ((tables, BY_CONTEXT), (served, BY_WORD)):
-            own = role == wanted
-            array[code[own]] += n[own]
+        drawn = coded_sums(sums, len(model.train))
+        tables, served = (self.fixed[role] + drawn[role] for role in (BY_CONTEXT, BY_WORD))
         weight = (model.strength + self.parent_discount * self.total_tables) * self.base
         seat = self._seating(weight, number)
         seated = seat(self.codes, served)
@@ -527,9 +681,13 @@ class _Sampler:
 
     def _with_others(self) -> DataFrame:
         """Cells with the tables of their context and the parent of their word where uncoded."""
-        last = self.others.select("code", "tables", "parent")
-        return _joined(_joined(self.cells, last, "u", "w", {"tables": "u_tables"}),
-                       last, "w", "u", {"parent": "w_parent"})
+        last = self.others.select("code", F.col("tables").cast("double").alias("tables"), "parent")
+        coded = is_coded(F.col("u")) & is_coded(F.col("w"))
+        nothing = F.lit(None).cast("double")
+        rest = _joined(self.cells.filter(~coded), last, "u", "w", {"tables": "u_tables"})
+        rest = _joined(rest, last, "w", "u", {"parent": "w_parent"})
+        plain = self.cells.filter(coded)
+        return plain.withColumns({"u_tables": nothing, "w_parent": nothing}).unionByName(rest)
 
     def _seating(self, weight: float, number: int):
         logs, discount = self.top_logs, self.parent_discount
@@ -542,7 +700,9 @@ class _Sampler:
 
     def _advance_others(self, sums: DataFrame, seat) -> None:
         drawn = [
-            sums.filter(F.col("role") == role).select(F.col("u").alias("code"), F.col("n").alias(name))
+            sums.filter((F.col("role") == role) & F.col("payload").isNull())
+            .groupBy(F.col("u").alias("code"))
+            .agg(F.sum("n").alias(name))
             for role, name in ((BY_CONTEXT, "more_tables"), (BY_WORD, "more_served"))
         ]
 
@@ -594,73 +754,133 @@ def coded_scores(tokens: DataFrame, shared, buckets: int) -> DataFrame:
     def score(table: pa.Table) -> pa.Table:
         model = shared.value
         parts = _bucket(table)
-        distinct, inverse, count = _counted(parts)
-        u, w = _split(distinct)
+        key, inverse = np.unique(np.concatenate([part[0] for part in parts]), return_inverse=True)
+        count = np.bincount(inverse, _in_training(parts), len(key)).astype(np.int64)
+        u, w = _split(key)
         mean = _mean(
             model, log_arrangements(model.discount), u, w, count, model.train[u],
             lambda s: model.tables[s][u], lambda s: model.parent[s][w],
         )
-        value = np.log10(mean)[inverse]
-        rids, sums, at = [], [], 0
-        for key, text, times, rid, _ in parts:
-            rids.append(rid)
-            sums.append(np.bincount(text, value[at : at + len(key)] * times, len(rid)))
-            at += len(key)
-        return pa.table({"rid": np.concatenate(rids), "score": np.concatenate(sums)})
+        rid, sums = _by_text(parts, np.log10(mean)[inverse])
+        return pa.table({"rid": rid, "score": sums})
 
-    return _by_bucket(tokens, buckets).applyInArrow(score, "rid long, score double")
+    return _by_bucket(tokens, CODED, buckets).applyInArrow(score, "rid long, score double")
 
 
-def _by_sample(lists: pa.ListArray, otherwise: np.ndarray) -> np.ndarray:
-    """Lists of one value for each sample as rows, and ``otherwise`` where there is none."""
-    rows = np.tile(otherwise, (len(lists), 1))
-    given = lists.is_valid().to_numpy(zero_copy_only=False)
-    values = lists.drop_null().flatten().to_numpy(zero_copy_only=False)
-    rows[given] = values.reshape(-1, len(otherwise))
-    return rows
+SCORED = """rid long, score double, base double, known long, code long, train long,
+    all_tables array<double>, all_parents array<double>"""
+_DOUBLES = pa.list_(pa.float64())
+_SCORED = pa.schema(
+    [
+        ("rid", pa.int64()), ("score", pa.float64()), ("base", pa.float64()),
+        ("known", pa.int64()), ("code", pa.int64()), ("train", pa.int64()),
+        ("all_tables", _DOUBLES), ("all_parents", _DOUBLES),
+    ]
+)
+
+
+def mixed_scores(
+    tokens: DataFrame, others: DataFrame, shared, buckets: int, divisor: int
+) -> DataFrame:
+    """Rows of ``SCORED``: what the pairs with one uncoded word of a text add, and statistics.
+
+    ``others`` has the states of uncoded words seen again. Base logarithms are those of all
+    uncoded words. Words with uncoded partners come with their statistics (``rid`` is null).
+    """
+
+    def score(table: pa.Table, states: pa.Table) -> pa.Table:
+        if not len(table):
+            return _SCORED.empty_table()
+        model, mixed = shared.value, _Mixed(table)
+        size = len(model.tables)
+        # A word seen once has one table; one never seen has the base probability.
+        tables = np.ones((len(mixed.codes), size))
+        parents = np.tile(np.array(model.lone), (len(mixed.codes), 1))
+        parents[mixed.train == 0] = model.unknown
+        place = np.searchsorted(mixed.codes, states.column("code").to_numpy())
+        for rows, name in ((tables, "all_tables"), (parents, "all_parents")):
+            values = states.column(name).combine_chunks().flatten().to_numpy()
+            rows[place] = values.reshape(-1, size)
+        u, w = mixed.pairs()
+        u, w, word, own = (c[mixed.scored] for c in (u, w, mixed.cell_is_word, mixed.cell_own))
+        u_code, w_code = np.where(word, u, 0), np.where(word, 0, w)
+
+        mean = np.ones(len(mixed.scored))
+        mean[mixed.scored] = _mean(
+            model, log_arrangements(model.discount), u, w, mixed.cell_n[mixed.scored],
+            np.where(word, model.train[u_code], mixed.train[own]),
+            lambda s: np.where(word, model.tables[s][u_code], tables[own, s]),
+            lambda s: np.where(word, parents[own, s], model.parent[s][w_code]),
+        )
+        base = np.where(mixed.is_word, np.log10((mixed.train + 1) / divisor)[mixed.own], 0.0)
+        known = mixed.is_word & (mixed.train[mixed.own] > 0)
+        rid, scores, bases, knowns = _by_text(mixed.parts, np.log10(mean)[mixed.cell], base, known)
+        asked = np.unique(mixed.cell_own[~mixed.scored])
+        none = len(asked)
+        columns = [
+            np.r_[rid, np.full(none, -1)], np.r_[scores, np.zeros(none)],
+            np.r_[bases, np.zeros(none)], np.r_[knowns.astype(np.int64), np.zeros(none, np.int64)],
+            np.r_[np.full(len(rid), -1), mixed.codes[asked]],
+            np.r_[np.full(len(rid), -1), mixed.train[asked]],
+        ]
+        lists = [
+            pa.concat_arrays([
+                pa.nulls(len(rid), _DOUBLES),
+                pa.ListArray.from_arrays(np.arange(none + 1) * size, rows[asked].ravel()).cast(_DOUBLES),
+            ])
+            for rows in (tables, parents)
+        ]
+        return pa.Table.from_arrays([*map(pa.array, columns), *lists], schema=_SCORED)
+
+    stated = others.withColumn("bucket", _bucket_column(F.col("code"), buckets))
+    return (
+        _by_bucket(tokens, MIXED, buckets)
+        .cogroup(stated.repartition(buckets, "bucket").groupBy("bucket"))
+        .applyInArrow(score, SCORED)
+    )
+
+
+def _bucket_column(code: Column, buckets: int) -> Column:
+    def bucket(codes: pa.Array) -> pa.Array:
+        return pa.array(bucket_of(codes.to_numpy(zero_copy_only=False), buckets))
+
+    bucket.__annotations__ = {"codes": pa.Array, "return": pa.Array}
+    return F.arrow_udf(bucket, "int")(code)
 
 
 def uncoded_scores(rare: DataFrame, cells: DataFrame, stats: DataFrame, shared) -> DataFrame:
-    """(rid, score, base, known): what the pairs with an uncoded word of a text add.
+    """(rid, score): what the pairs of two uncoded words of a text add.
 
-    ``cells`` has the training count of each such pair, ``stats`` the training count of each
-    uncoded word and, if seen again, its tables and parent probabilities.
+    ``cells`` has the training count of each such pair, ``stats`` the training count, tables and
+    parent probabilities of each word in one.
     """
-    judged = cells
-    for column, other in (("u", "w"), ("w", "u")):
-        names = {"train": f"{column}_train", "all_tables": f"{column}_all_tables",
-                 "all_parents": f"{column}_all_parents"}
-        judged = _joined(judged, stats, column, other, names)
+    contexts = stats.select(
+        F.col("code").alias("u"), F.col("train").alias("u_train"),
+        F.col("all_tables").alias("u_all_tables"),
+    )
+    words = stats.select(F.col("code").alias("w"), F.col("all_parents").alias("w_all_parents"))
+    judged = cells.join(contexts, "u").join(words, "w")
 
     def value(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         model = shared.value
         logs = log_arrangements(model.discount)
-        for u, w, n, u_train, w_train, u_tables, w_parents in batches:
-            u, w, n, u_train, w_train = (
-                c.to_numpy(zero_copy_only=False) for c in (u, w, n, u_train, w_train)
+        for u, w, n, train, tables, parents in batches:
+            u, w, n, train = (c.to_numpy(zero_copy_only=False) for c in (u, w, n, train))
+            shape = (len(u), len(model.tables))
+            tables, parents = (
+                c.flatten().to_numpy(zero_copy_only=False).reshape(shape) for c in (tables, parents)
             )
-            u_coded, w_coded = u < HASHED, w < HASHED
-            customers = np.where(u_coded, 0, np.nan_to_num(u_train)).astype(np.int64)
-            customers[u_coded] = model.train[u[u_coded]]
-            # A context seen once has one table.
-            tables = _by_sample(u_tables, np.ones(len(model.tables)))
-            parents = _by_sample(w_parents, np.array(model.lone))
-            parents[(np.nan_to_num(w_train) == 0) & ~w_coded] = model.unknown
-            for sample, (own, above) in enumerate(zip(model.tables, model.parent, strict=True)):
-                tables[u_coded, sample] = own[u[u_coded]]
-                parents[w_coded, sample] = above[w[w_coded]]
             mean = _mean(
-                model, logs, u, w, n.astype(np.int64), customers,
+                model, logs, u, w, n, train,
                 lambda s, rows=tables: rows[:, s], lambda s, rows=parents: rows[:, s],
             )
             yield pa.array(np.log10(mean))
 
     logarithm = F.arrow_udf(value, "double")
     judged = judged.select(
-        "u", "w", F.col("w_train").alias("train"),
-        logarithm("u", "w", "n", "u_train", "w_train", "u_all_tables", "w_all_parents").alias("score"),
-    )
-    return rare.join(judged, ["u", "w"]).select("rid", "score", "train")
+        "u", "w", logarithm("u", "w", "n", "u_train", "u_all_tables", "w_all_parents").alias("score")
+    )
+    return rare.join(judged, ["u", "w"]).select("rid", "score")
 
 
 def lm_scores(
@@ -699,54 +919,37 @@ def lm_scores(
         F.sum(F.when(F.col("word") == "", F.col("train"))),
     ).first()
     n_train, distinct, n_all, ones, twos, ends = (int(x or 0) for x in totals)
-    chosen, counts, least = coded_words(words, coded)
+    chosen, counts = coded_words(words, coded)
     train = np.concatenate([[ends, ends], counts]).astype(np.int64)
     base_logs = np.log10((train + 1) / (n_train + distinct + 1))
     buckets = max(1, -(-n_all // BUCKET_TOKENS))
     sent = spark.sparkContext.broadcast((chosen, base_logs, train))
     tokens = stored_tokens(texts, sent, buckets)
 
-    rare = tokens.filter("u IS NOT NULL")
+    rare = tokens.filter(F.col("kind") == UNCODED)
     rare_cells = _written(
         rare.groupBy("u", "w").agg(F.count_if(~F.col("held")).alias("n")), "rare-cells"
     )
-    cells = _written(coded_cells(tokens, buckets), "cells")
-    lone = rare_cells.filter("n = 1")
-    sums = (
-        cells.filter(F.col("role") != CELL)
-        .select("role", F.col("u").alias("code"), "n")
-        .unionByName(lone.select(F.lit(BY_CONTEXT).alias("role"), F.col("u").alias("code"), "n"))
-        .unionByName(lone.select(F.lit(BY_WORD).alias("role"), F.col("w").alias("code"), "n"))
-        .groupBy("role", "code")
-        .agg(F.sum("n").alias("n"))
-    )
-    sums = _written(sums, "lone")
-    fixed = {}
-    rows = _collected(sums.filter(is_coded(F.col("code"))))
-    role, code, n = (column.to_numpy() for column in rows.columns)
-    for wanted in (BY_CONTEXT, BY_WORD):
-        fixed[wanted] = np.zeros(len(train), np.int64)
-        own = role == wanted
-        fixed[wanted][code[own]] = n[own]
-
+    counted = coded_cells(tokens, buckets).unionByName(mixed_cells(tokens, buckets))
+    lone = rare_cells.filter("n = 1").select("n", "u", "w")
+    one = _cells_of(BY_CONTEXT, lone, "u").unionByName(_cells_of(BY_WORD, lone, "w"))
+    counted = _written(counted.unionByName(one), "counted")
+    fixed = coded_sums(counted, len(train))
     several = _written(
-        cells.filter(F.col("role") == CELL)
+        counted.filter(F.col("role") == CELL)
         .select("u", "w", "n")
-        .unionByName(rare_cells.filter("n > 1")),
+        .unionByName(rare_cells.filter("n > 1").select("u", "w", "n")),
         "several",
     )
-    cell_ones = int(fixed[BY_WORD].sum()) + (
-        sums.filter((F.col("role") == BY_WORD) & ~is_coded(F.col("code"))).agg(F.sum("n")).first()[0] or 0
-    )
-    cell_twos = several.filter("n = 2").count()
-    uncoded = words.filter((F.col("word") != "") & (_bin(F.col("n")) < least)).select(
-        _hash(F.col("word")).alias("code"), "train"
+    lone_words = int(
+        counted.filter(F.col("role") == LONE).agg(F.sum("n")).first()[0] or 0
     )
-    uncoded = _written(uncoded, "uncoded")
-    again = uncoded.filter("train > 1")
+    cell_twos = several.filter("n = 2").count()
+    again = counted.filter(F.col("role") == SEEN).select(F.col("u").alias("code"))
     for role, name in ((BY_CONTEXT, "lone_context"), (BY_WORD, "lone_word")):
-        own = sums.filter((F.col("role") == role) & ~is_coded(F.col("code")))
-        again = again.join(own.select("code", F.col("n").alias(name)), "code", "left")
+        own = counted.filter((F.col("role") == role) & F.col("payload").isNull())
+        own = own.groupBy(F.col("u").alias("code")).agg(F.sum("n").alias(name))
+        again = again.join(own, "code", "left")
     none = F.array().cast("array<double>")
     others = _written(
         again.fillna(0, ["lone_context", "lone_word"])
@@ -756,12 +959,13 @@ def lm_scores(
         .withColumn("all_parents", none),
         "others",
     )
+    # A word seen once has one cell, a lone one.
+    of_others = others.agg(F.sum("lone_word")).first()[0] or 0
+    cell_ones = int(fixed[BY_WORD].sum()) + of_others + lone_words
     model = Model(train, [], [], [], [], discount_of(cell_ones, cell_twos), strength, 0)
-    lone_words = uncoded.filter("train = 1").count()
     sampler = _Sampler(
-        spark, model, several, others, fixed, lone_words, 1.0 / (distinct + 1),
-        discount_of(ones, twos),
-    )
+        spark, model, several, others, fixed, lone_words, distinct, discount_of(ones, twos)
+    )
     for number in range(burn_in + samples + 1):
         sampler.sweep(number)
     # The state before the first sample starts it; earlier ones are done with.
@@ -769,28 +973,24 @@ def lm_scores(
         del states[:burn_in]
     model.first_sweep = burn_in
     shared = spark.sparkContext.broadcast(model)
-    kept = sampler.others.select(
+    states = sampler.others.select(
         "code",
         *[F.slice(name, burn_in + 1, samples + 1).alias(name) for name in ("all_tables", "all_parents")],
     )
-    stats = uncoded.join(kept, "code", "left")
+    divisor = n_train + distinct + 1
     of_coded = _written(coded_scores(tokens, shared, buckets), "coded-scores")
+    of_mixed = _written(mixed_scores(tokens, states, shared, buckets, divisor), "mixed-scores")
+    stats = of_mixed.filter("code >= 0").select("code", "train", "all_tables", "all_parents")
     of_rare = _written(uncoded_scores(rare, rare_cells, stats, shared), "rare-scores")
-    base = F.log10((F.col("train") + 1) / F.lit(float(n_train + distinct + 1)))
+    nothing = {"base": F.lit(0.0), "known": F.lit(0).cast("long")}
     added = (
-        of_coded.select(
-            "rid", "score", F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("known")
-        )
-        .unionByName(
-            of_rare.select(
-                "rid", "score", F.coalesce(base, F.lit(0.0)).alias("base"),
-                F.coalesce(F.col("train") > 0, F.lit(False)).cast("long").alias("known"),
-            )
-        )
+        of_coded.withColumns(nothing)
+        .unionByName(of_mixed.filter("code < 0").select("rid", "score", "base", "known"))
+        .unionByName(of_rare.withColumns(nothing))
         .groupBy("rid")
         .agg(*[F.sum(name).alias(f"{name}_added") for name in ("score", "base", "known")])
-    )
-    scored = tokens.filter("n_tokens IS NOT NULL").join(added, "rid", "left")
+    )
+    scored = tokens.filter(F.col("kind") == TEXT).drop("u", "w").join(added, "rid", "left")
     return scored.select(
         "doc_id",
         F.col("held").alias("held_out"),
@@ -805,11 +1005,9 @@ def lm_scores(
     )
 
 
-def _hash(word: Column) -> Column:
-    """Code of uncoded words, as in :func:`hashed_code`."""
-
-    def code(words: pa.Array) -> pa.Array:
-        return pa.array([hashed_code(w) for w in words.cast(pa.binary()).to_pylist()], pa.int64())
-
-    code.__annotations__ = {"words": pa.Array, "return": pa.Array}
-    return F.arrow_udf(code, "long")(word)
+def _cells_of(role: int, rows: DataFrame, code: str) -> DataFrame:
+    """Rows of ``CELLS`` from counts of one code each."""
+    return rows.select(
+        F.lit(role).alias("role"), F.col(code).alias("u"), F.col(code).alias("w"), "n",
+        F.lit(None).cast("binary").alias("payload"),
+    )
