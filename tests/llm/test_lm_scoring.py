@@ -18,6 +18,11 @@ TEXTS = [
 ]
 
 
+def words_of(text):
+    """Words between ASCII white space, only A-Z lower-cased."""
+    return (text or "").encode().lower().split()
+
+
 def learned(spark, texts=TEXTS, every=4):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     return frame, F.col("doc_id") % every == every - 1
@@ -25,7 +30,7 @@ def learned(spark, texts=TEXTS, every=4):
 
 def plain_base(rows, held):
     """doc_id -> (tokens, known, base score), and the training tokens, from the definition."""
-    tokens = {key: [*(text or "").lower().split(), None] for key, text in rows}
+    tokens = {key: [*words_of(text), None] for key, text in rows}
     counts = Counter(w for key, words in tokens.items() if not held(key) for w in words)
     total, distinct = sum(counts.values()), len(counts)
     return {
@@ -51,12 +56,11 @@ def test_base_scores_equal_brute_force(spark, coded):
 
 def plain_scores(rows, held, coded, burn_in=2, samples=3, strength=1.0):
     """Scores by the same draws, one cell at a time."""
-    seen = Counter(w for _, text in rows for w in (text or "").lower().split())
-    chosen = [w.encode() for w in sorted(seen)] if coded else []
+    chosen = sorted({w for _, text in rows for w in words_of(text)}) if coded else []
     codes = {w: lm_scoring.FIRST + i for i, w in enumerate(chosen)}
 
     def tokens(text):
-        words = [codes.get(w.encode()) or lm_scoring.hashed_code(w.encode()) for w in (text or "").lower().split()]
+        words = [codes.get(w) or lm_scoring.hashed_code(w) for w in words_of(text)]
         return [lm_scoring.START, *words, lm_scoring.END]
 
     texts = {key: tokens(text) for key, text in rows}
