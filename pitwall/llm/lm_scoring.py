@@ -47,7 +47,7 @@ HASHED = 1 << 62
 NO_PARTNER = 1 << 40
 #: Tokens that a task holds before it packs them, and tokens of one bucket at most, about.
 HELD_TOKENS = 2_000_000
-BUCKET_TOKENS = 1_500_000
+BUCKET_TOKENS = 3_000_000
 _HELD_WORDS = 1_000_000
 #: Rows of an Arrow batch of numbers; batches of texts are smaller.
 BATCH_NUMBERS = 50_000
@@ -67,7 +67,7 @@ _TOKENS = pa.schema(
     ]
 )
 #: Kinds of rows of ``TOKENS``: a text, packed pairs of coded words, packed pairs with one uncoded
-#: word, and a pair of two uncoded words.
+#: word (``rid`` is then the first text that was packed with them), a pair of two uncoded words.
 TEXT, CODED, MIXED, UNCODED = 0, 1, 2, 3
 _WORDS = pa.schema([("word", pa.string()), ("n", pa.int64()), ("train", pa.int64())])
 CELLS = "role int, u long, w long, n long, payload binary"
@@ -310,7 +310,7 @@ class _Tokens:
                 out[named],
                 *[column[start:end] for column in more],
             )
-            yield _token_rows(kind=[kind], bucket=[number], payload=[payload])
+            yield _token_rows(kind=[kind], rid=[self.rids[0]], bucket=[number], payload=[payload])
 
 
 def _token_rows(**columns: list) -> pa.RecordBatch:
@@ -447,16 +447,33 @@ def _in_training(parts: list[tuple[np.ndarray, ...]]) -> np.ndarray:
     return np.concatenate([np.where(out[text] > 0, 0, n) for _, text, n, _, out, *_ in parts])
 
 
-def _by_text(parts: list[tuple[np.ndarray, ...]], *values: np.ndarray) -> list[np.ndarray]:
-    """Ids of texts, and the sums over the entries of each text of each of ``values``."""
-    sums: list[list[np.ndarray]] = [[] for _ in range(len(values) + 1)]
-    at = 0
-    for key, text, times, rid, *_ in parts:
-        sums[0].append(rid)
-        for out, value in zip(sums[1:], values, strict=True):
-            out.append(np.bincount(text, value[at : at + len(key)] * times, len(rid)))
+def _by_text(
+    table: pa.Table, parts: list[tuple[np.ndarray, ...]], *values: np.ndarray
+) -> tuple[list[int], list[bytes]]:
+    """First text of each packed row, and packed sums of ``values`` over each text's entries."""
+    firsts, sums, at = table.column("rid").to_pylist(), [], 0
+    for first, (key, text, times, rid, *_) in zip(firsts, parts, strict=True):
+        own = [np.bincount(text, value[at : at + len(key)] * times, len(rid)) for value in values]
+        sums.append(packed((rid - first).astype(np.int32), *own))
         at += len(key)
-    return [np.concatenate(column) for column in sums]
+    return firsts, sums
+
+
+def added_up(scored: DataFrame) -> DataFrame:
+    """(rid, score, base, known) from packed sums: one row for each text."""
+
+    def add(table: pa.Table) -> pa.Table:
+        parts = [unpacked(payload) for payload in table.column("payload").to_pylist()]
+        size = 1 + max(int(part[0].max(initial=0)) for part in parts)
+        totals = np.zeros((3, size))
+        for text, *values in parts:
+            for total, value in zip(totals, values):
+                total[text] += value
+        rid = table.column("rid")[0].as_py() + np.arange(size)
+        columns = [rid, totals[0], totals[1], totals[2].astype(np.int64)]
+        return pa.Table.from_arrays([*map(pa.array, columns)], names=["rid", "score", "base", "known"])
+
+    return scored.groupBy("rid").applyInArrow(add, "rid long, score double, base double, known long")
 
 
 def _split(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -464,7 +481,7 @@ def _split(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _by_bucket(tokens: DataFrame, kind: int, buckets: int):
-    rows = tokens.filter(F.col("kind") == kind).select("bucket", "payload")
+    rows = tokens.filter(F.col("kind") == kind).select("bucket", "rid", "payload")
     # Packed rows are small beside the work in them, so partitions are not to be merged by size.
     return rows.repartition(buckets, "bucket").groupBy("bucket")
 
@@ -749,7 +766,7 @@ def _joined(
 
 
 def coded_scores(tokens: DataFrame, shared, buckets: int) -> DataFrame:
-    """(rid, score): what the pairs of coded words of a text add, bucket by bucket."""
+    """Packed sums (``rid``, ``payload``): what the pairs of coded words of a text add."""
 
     def score(table: pa.Table) -> pa.Table:
         model = shared.value
@@ -761,20 +778,19 @@ def coded_scores(tokens: DataFrame, shared, buckets: int) -> DataFrame:
             model, log_arrangements(model.discount), u, w, count, model.train[u],
             lambda s: model.tables[s][u], lambda s: model.parent[s][w],
         )
-        rid, sums = _by_text(parts, np.log10(mean)[inverse])
-        return pa.table({"rid": rid, "score": sums})
+        firsts, sums = _by_text(table, parts, np.log10(mean)[inverse])
+        return pa.table({"rid": firsts, "payload": pa.array(sums, pa.binary())})
 
-    return _by_bucket(tokens, CODED, buckets).applyInArrow(score, "rid long, score double")
+    return _by_bucket(tokens, CODED, buckets).applyInArrow(score, "rid long, payload binary")
 
 
-SCORED = """rid long, score double, base double, known long, code long, train long,
-    all_tables array<double>, all_parents array<double>"""
+SCORED = """rid long, payload binary, code long, train long, all_tables array<double>,
+    all_parents array<double>"""
 _DOUBLES = pa.list_(pa.float64())
 _SCORED = pa.schema(
     [
-        ("rid", pa.int64()), ("score", pa.float64()), ("base", pa.float64()),
-        ("known", pa.int64()), ("code", pa.int64()), ("train", pa.int64()),
-        ("all_tables", _DOUBLES), ("all_parents", _DOUBLES),
+        ("rid", pa.int64()), ("payload", pa.binary()), ("code", pa.int64()),
+        ("train", pa.int64()), ("all_tables", _DOUBLES), ("all_parents", _DOUBLES),
     ]
 )
 
@@ -782,10 +798,10 @@ _SCORED = pa.schema(
 def mixed_scores(
     tokens: DataFrame, others: DataFrame, shared, buckets: int, divisor: int
 ) -> DataFrame:
-    """Rows of ``SCORED``: what the pairs with one uncoded word of a text add, and statistics.
+    """Rows of ``SCORED``: packed sums of pairs with one uncoded word, and statistics of words.
 
     ``others`` has the states of uncoded words seen again. Base logarithms are those of all
-    uncoded words. Words with uncoded partners come with their statistics (``rid`` is null).
+    uncoded words. Words with uncoded partners come with their statistics, others have no row.
     """
 
     def score(table: pa.Table, states: pa.Table) -> pa.Table:
@@ -814,23 +830,26 @@ def mixed_scores(
         )
         base = np.where(mixed.is_word, np.log10((mixed.train + 1) / divisor)[mixed.own], 0.0)
         known = mixed.is_word & (mixed.train[mixed.own] > 0)
-        rid, scores, bases, knowns = _by_text(mixed.parts, np.log10(mean)[mixed.cell], base, known)
+        firsts, sums = _by_text(table, mixed.parts, np.log10(mean)[mixed.cell], base, known)
         asked = np.unique(mixed.cell_own[~mixed.scored])
-        none = len(asked)
-        columns = [
-            np.r_[rid, np.full(none, -1)], np.r_[scores, np.zeros(none)],
-            np.r_[bases, np.zeros(none)], np.r_[knowns.astype(np.int64), np.zeros(none, np.int64)],
-            np.r_[np.full(len(rid), -1), mixed.codes[asked]],
-            np.r_[np.full(len(rid), -1), mixed.train[asked]],
-        ]
         lists = [
-            pa.concat_arrays([
-                pa.nulls(len(rid), _DOUBLES),
-                pa.ListArray.from_arrays(np.arange(none + 1) * size, rows[asked].ravel()).cast(_DOUBLES),
-            ])
+            pa.ListArray.from_arrays(np.arange(len(asked) + 1) * size, rows[asked].ravel())
             for rows in (tables, parents)
-        ]
-        return pa.Table.from_arrays([*map(pa.array, columns), *lists], schema=_SCORED)
+        ]
+        words = {"code": mixed.codes[asked], "train": mixed.train[asked],
+                 "all_tables": lists[0], "all_parents": lists[1]}
+        return pa.concat_tables([
+            _filled({"rid": firsts, "payload": sums}, len(firsts)), _filled(words, len(asked))
+        ])
+
+    def _filled(columns: dict, count: int) -> pa.Table:
+        return pa.Table.from_arrays(
+            [
+                pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(count, f.type)
+                for f in _SCORED
+            ],
+            schema=_SCORED,
+        )
 
     stated = others.withColumn("bucket", _bucket_column(F.col("code"), buckets))
     return (
@@ -935,11 +954,10 @@ def lm_scores(
     one = _cells_of(BY_CONTEXT, lone, "u").unionByName(_cells_of(BY_WORD, lone, "w"))
     counted = _written(counted.unionByName(one), "counted")
     fixed = coded_sums(counted, len(train))
-    several = _written(
+    several = (
         counted.filter(F.col("role") == CELL)
         .select("u", "w", "n")
-        .unionByName(rare_cells.filter("n > 1").select("u", "w", "n")),
-        "several",
+        .unionByName(rare_cells.filter("n > 1").select("u", "w", "n"))
     )
     lone_words = int(
         counted.filter(F.col("role") == LONE).agg(F.sum("n")).first()[0] or 0
@@ -980,16 +998,18 @@ def lm_scores(
     divisor = n_train + distinct + 1
     of_coded = _written(coded_scores(tokens, shared, buckets), "coded-scores")
     of_mixed = _written(mixed_scores(tokens, states, shared, buckets, divisor), "mixed-scores")
-    stats = of_mixed.filter("code >= 0").select("code", "train", "all_tables", "all_parents")
-    of_rare = _written(uncoded_scores(rare, rare_cells, stats, shared), "rare-scores")
-    nothing = {"base": F.lit(0.0), "known": F.lit(0).cast("long")}
+    stats = of_mixed.filter("code IS NOT NULL").drop("rid", "payload")
+    of_rare = uncoded_scores(rare, rare_cells, stats, shared)
+    packed_sums = of_mixed.filter("payload IS NOT NULL").select("rid", "payload")
     added = (
-        of_coded.withColumns(nothing)
-        .unionByName(of_mixed.filter("code < 0").select("rid", "score", "base", "known"))
-        .unionByName(of_rare.withColumns(nothing))
+        added_up(of_coded.unionByName(packed_sums))
+        .unionByName(
+            of_rare.withColumns({"base": F.lit(0.0), "known": F.lit(0).cast("long")})
+        )
         .groupBy("rid")
         .agg(*[F.sum(name).alias(f"{name}_added") for name in ("score", "base", "known")])
     )
+    added = _written(added, "added")
     scored = tokens.filter(F.col("kind") == TEXT).drop("u", "w").join(added, "rid", "left")
     return scored.select(
         "doc_id",
