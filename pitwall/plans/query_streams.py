@@ -406,15 +406,13 @@ def _(t):
     )
     told = entered.withColumn("sent", F.expr(f"CASE WHEN {_LATE_RACE} THEN 1 ELSE 0 END"))
     ended = entered.filter(_ENDED_RACE).select("race_id")
-    job = frame_tables.FrameTables(storage.scratch(t.spark, "frames"), idle_seconds=86_400)
+    rows = frames.frame_input(sent, told, ended.withColumn("sent", F.lit(4)), ("sent",))
+    base = storage.scratch(t.spark, "frames")
+    rows.write.partitionBy("sent").parquet(f"{base}/sent")
+    arrived = t.spark.read.parquet(f"{base}/sent")
+    job = frame_tables.FrameTables(base, idle_seconds=86_400)
     for number in range(5):
-        now = F.col("sent") == number
-        batch = frames.frame_input(
-            sent.filter(now).drop("sent"),
-            told.filter(now).drop("sent"),
-            ended if number == 4 else None,
-        )
-        job.sink(batch, number)
+        job.sink(arrived.filter(F.col("sent") == number).drop("sent"), number)
     laps_completed = F.get_json_object("payload", "$.laps_completed").cast("int")
     return job.read_frames(t.spark).select(
         "race_id", "state_sequence", "snapshot_id", "complete", "car_id", "race_position", "stale",

@@ -13,12 +13,15 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only where the setting is absent, as in tests, a local folder takes its place.
+    Only where the setting is absent in a session on one machine, as in tests, a local folder
+    takes its place; a cluster without the setting is refused.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_SETTING
     )
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="pitwall-")
         spark.conf.set(CHECKPOINT_SETTING, root)
     return root.rstrip("/")

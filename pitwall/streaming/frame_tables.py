@@ -2,7 +2,7 @@
 
 Each micro-batch is one job: Spark groups the samples to one row a frame, decides by windows over
 those rows what becomes of every frame, and carries cars forward by windows over (race, car). No
-race is collected in one Python task, and only numbers of frames are ordered within a race.
+race is collected in one Python task; what is ordered within a race is one row a frame.
 
 The rules are those of a race that takes its snapshots in order of time. After each snapshot that
 has new rows at most one frame is released: the snapshot itself if it is whole, else the newest
@@ -93,7 +93,7 @@ def outcomes(frames: DataFrame, lag: int, pending: int) -> DataFrame:
     """Adds ``outcome`` to frames: complete, partial, superseded, crowded or waits.
 
     Needs race_id, snapshot_id, ``whole``, ``touched`` (has new rows) and ``waited`` (was waiting
-    before). Windows hold one short row a frame.
+    before). Windows order one row a frame.
     """
     race = Window.partitionBy("race_id").orderBy("snapshot_id")
     later = race.rowsBetween(1, Window.unboundedFollowing)
@@ -240,18 +240,16 @@ class FrameTables:
             for table, ddl in (("races", RACES), ("waiting", WAITING), ("cars", CARS))
         )
         now = F.lit(self.clock()).cast("timestamp")
+        target = 0 if folder is None else 1 - folder
         batch = batch.persist()
-        kept: list[DataFrame] = [batch]
         try:
-            alive = self._races(batch, races, now).persist()
+            alive = self._stored(self._races(batch, races, now), f"{STATE}/{target}/known")
             first, waiting = self._fitting(batch, alive, waiting)
-            first, waiting = first.persist(), waiting.persist()
-            kept += [alive, first, waiting]
             judged = self._frames(batch, alive, first, waiting)
-            closing = self._closing(batch, alive)
-            frames = closed(outcomes(judged, self.lag, self.pending), closing)
-            frames = frames.drop("entrants").unionByName(first).persist()
-            kept.append(frames)
+            frames = closed(outcomes(judged, self.lag, self.pending), self._closing(batch, alive))
+            frames = frames.drop("entrants").unionByName(first)
+            # Stored, so that what follows plans and runs on one short table.
+            frames = self._stored(frames, f"{STATE}/{target}/judged")
             sequence = F.row_number().over(Window.partitionBy("race_id").orderBy("snapshot_id"))
             released = (
                 frames.filter(F.col("outcome").isin("complete", "partial"))
@@ -260,17 +258,19 @@ class FrameTables:
                 .join(alive.select("race_id", F.col("sequence").alias("before")), "race_id")
                 .withColumn("sequence", F.col("before") + F.col("nth"))
             )
-            rows = car_rows(released, cars).persist()
-            kept.append(rows)
-            out = rows.unionByName(self._refusals(batch, alive, first, frames))
-            self._write(out, f"{FRAMES}/batch_id={batch_id}")
-            target = 0 if folder is None else 1 - folder
-            self._save(target, batch, alive, frames, rows, cars)
-            commit = spark.createDataFrame([(target, batch_id)], COMMIT).drop("batch_id")
+            refused = self._refusals(batch, alive, first, frames)
+            out = self._stored(
+                car_rows(released, cars).unionByName(refused), f"{FRAMES}/batch_id={batch_id}"
+            )
+            self._save(target, batch, alive, frames, out.filter("refused IS NULL"), cars)
+            commit = spark.createDataFrame([(target,)], "folder int")
             self._write(commit.coalesce(1), f"{COMMITS}/batch_id={batch_id}")
         finally:
-            for frame in kept:
-                frame.unpersist()
+            batch.unpersist()
+
+    def _stored(self, frame: DataFrame, table: str) -> DataFrame:
+        self._write(frame, table)
+        return frame.sparkSession.read.schema(frame.schema).parquet(f"{self.base}/{table}")
 
     def _write(self, frame: DataFrame, table: str) -> None:
         frame.write.mode("overwrite").parquet(f"{self.base}/{table}")
