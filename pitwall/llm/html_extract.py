@@ -3,8 +3,9 @@
 A page is read once as a sequence of words and tags. Words score positive, tags negative; how much
 a tag costs is learned from pages that mark their article themselves: a kind of tag (name and
 class) that stands outside articles costs most. A linear scan keeps the best contiguous region.
-Elements that are never part of an article (menus, forms, scripts, reader comments and so on, by
-name or class) score no words and are left out wherever they stand.
+Every article the region touches is kept whole. Elements that are never part of an article (menus,
+forms, scripts, reader comments and so on, by name or by a class that says nothing else) score no
+words and are left out wherever they stand, unless a class marks an element around most of the page.
 """
 
 from __future__ import annotations
@@ -42,28 +43,28 @@ HINTS = frozenset(
     "complementary contentinfo hidden".split()
 )
 READER_HINTS = frozenset("comment comments commentlist disqus replies respond".split())
+# Words that say nothing of their own beside one of those.
+PLAIN = frozenset(
+    "area bar block bottom box button buttons center col column container global group inner "
+    "item items left link links list main mobile outer page panel primary right row secondary "
+    "section site slot top unit user wrap wrapper".split()
+)
+READER_PLAIN = PLAIN | frozenset("article blog form post reader readers thread".split())
 #: Level of elements with text of readers; an article inside them is one of theirs.
 READERS = 2
 SPACING = frozenset("br td th".split())
-_STATE = frozenset("has no with without is js".split())
-
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)"
-    r"(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(?P<close2>/?)(?P<name2>[A-Za-z][^\s/>]*)(?P<rest2>[^>]*)>"
-    r"|<[!?/][^>]*>",
-    re.DOTALL,
-)
+
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_TAG_STEP = re.compile(r">|=\s*([\"'])")
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 @dataclass
 class Block:
-    """A stretch of text between block tags."""
+    """A stretch of text between block tags: pieces of (mark, words, text)."""
 
-    text: list[str] = field(default_factory=list)
+    pieces: list[tuple[int, int, str]] = field(default_factory=list)
     words: int = 0
     cost: float = 0.0
     container: int = 0
@@ -83,61 +84,122 @@ def _words(match: re.Match) -> list[str]:
 
 
 def out_level(name: str, rest: str) -> int:
-    """0 for article text, 1 for elements left out by name, class, id or role, 2 for readers'."""
-    level = 1 if name in LEFT_OUT else 0
+    """0 for article text, 1 for elements marked by class, id or role, 2 for those of readers.
+
+    One class name counts only if all its words speak of such an element: ``cookie-notice`` and
+    ``site-header`` do, ``content-with-sidebar`` and ``article-header`` do not.
+    """
+    level = 0
     if not rest or name in ("html", "body"):
         return level
     for match in _MARKS.finditer(rest):
         for single in (match[1] or match[2] or match[3] or "").split():
-            parts = [part.lower() for part in _PARTS.findall(single)]
-            if not parts or parts[0] in _STATE:
-                continue
-            if not READER_HINTS.isdisjoint(parts):
+            parts = {part.lower() for part in _PARTS.findall(single)}
+            if parts & READER_HINTS and parts <= READER_HINTS | READER_PLAIN:
                 return READERS
-            if name not in CONTAINERS and not HINTS.isdisjoint(parts):
+            if name not in CONTAINERS and parts & HINTS and parts <= HINTS | PLAIN:
                 level = 1
     return level
 
 
+class TagEnds:
+    """Where tags of a page end, in time linear in the page however broken it is.
+
+    Quotes count behind an equals sign only. Quotes found to lead to no end are remembered, so
+    that no stretch is searched again from each of them.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.lost: set[int] = set()
+        self.from_, self.step = 0, _TAG_STEP.search(page)
+
+    def _next(self, at: int) -> re.Match | None:
+        if not (self.from_ <= at and (self.step is None or at <= self.step.start())):
+            self.from_, self.step = at, _TAG_STEP.search(self.page, at)
+        return self.step
+
+    def end(self, at: int) -> int:
+        """Place of the sign that ends the tag whose name ends at ``at``, -1 if there is none.
+
+        Where a quote is never closed, the next such sign ends the tag.
+        """
+        opened, place = [], at
+        while step := self._next(place):
+            if step[1] is None:
+                return step.start()
+            quote = step.end() - 1
+            if quote in self.lost:
+                break
+            opened.append(quote)
+            place = self.page.find(step[1], quote + 1) + 1
+            if not place:
+                break
+        self.lost.update(opened)
+        return self.page.find(">", at)
+
+
 def events(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, name, text or attributes) with kinds ``text``, ``open``, ``close``.
 
     The content of scripts, styles and the like is skipped; comments and declarations too.
     """
-    at, size = 0, len(page)
-    lowered = None
-    while at < size:
-        match = _TOKEN.search(page, at)
-        if match is None:
-            yield "text", "", page[at:]
-            return
-        if match.start() > at:
-            yield "text", "", page[at : match.start()]
-        at = match.end()
-        name = (match["name"] or match["name2"] or "").lower()
-        if not name:
+    start = at = 0  # of the text not yet given, of the search
+    size, ends, lowered = len(page), TagEnds(page), None
+    while (sign := page.find("<", at)) >= 0:
+        close = page.startswith("/", sign + 1)
+        name = _NAME.match(page, sign + 1 + close)
+        comment = page.startswith("!--", sign + 1)
+        if comment:
+            end = page.find("-->", sign + 2)
+            end = size if end < 0 else end + 2
+        elif name:
+            end = ends.end(name.end())
+        elif page.startswith(("!", "?", "/"), sign + 1):
+            end = page.find(">", sign)
+        else:
+            at = sign + 1
             continue
-        if match["close"] or match["close2"]:
-            yield "close", name, ""
+        if end < 0:
+            break  # no tag ends behind this place: the rest is text
+        if start < sign:
+            yield "text", "", page[start:sign]
+        start = at = end + 1
+        if comment or not name:
             continue
-        rest = match["rest"] or match["rest2"] or ""
-        yield "open", name, rest
-        if name in RAW and not rest.endswith("/"):
+        found = name[0].lower()
+        if close:
+            yield "close", found, ""
+            continue
+        rest = page[name.end() : end]
+        yield "open", found, rest
+        if found in RAW and not rest.endswith("/"):
             if lowered is None:
                 lowered = page.lower() if len(page.lower()) == size else page
-            end = lowered.find(f"</{name}", at)
-            at = size if end < 0 else end
+            end = lowered.find(f"</{found}", at)
+            start = at = size if end < 0 else end
+    if start < size:
+        yield "text", "", page[start:]
 
 
 class Page:
-    """Blocks of a page with their words, tag costs and enclosing article."""
+    """Blocks of a page with their words, tag costs and enclosing article.
+
+    Elements left out by name and those of readers add no text. Elements marked by class are told
+    apart by number; whether they count is known when the page has been read.
+    """
 
     def __init__(self, page: str, weights: dict[str, float], default: float) -> None:
         self.blocks: list[Block] = [Block()]
         self.weights, self.default = weights, default
         self.counts: dict[str, list[int]] = {}
-        self.stack: list[tuple[str, int, int]] = []  # name, how far left out, article
+        # Name, whether left out (2: readers'), mark, article.
+        self.stack: list[tuple[str, int, int, int]] = []
+        self.opened: dict[str, int] = {}  # open elements of each name
         self.containers = 0
+        self.within = [0]  # the mark around each mark
+        self.words = [0]  # words right inside of each mark; 0 is no mark
+        self.in_containers = 0
         self.kinds: dict[tuple[str, str], tuple[str, int]] = {}
         for kind, name, rest in events(page):
             if kind == "text":
@@ -146,29 +208,33 @@ class Page:
                 self._open(name, rest)
             else:
                 self._close(name)
+        self._count_words()
 
-    def _inside(self) -> tuple[int, int]:
-        return self.stack[-1][1:] if self.stack else (0, 0)
+    def _inside(self) -> tuple[int, int, int]:
+        return self.stack[-1][1:] if self.stack else (0, 0, 0)
 
     def _text(self, text: str) -> None:
-        out, container = self._inside()
+        out, mark, container = self._inside()
         if out:
             return
         block = self.blocks[-1]
-        if not block.text:
+        if not block.pieces:
             block.container = container
-        block.text.append(text)
-        block.words += len(text.split())
+        words = len(text.split())
+        block.pieces.append((mark, words, text))
+        self.words[mark] += words
+        if container:
+            self.in_containers += words
 
     def _tag(self, kind: str, name: str, block_tag: bool) -> None:
         weight = self.weights.get(kind)
         if weight is None:
             weight = self.weights.get(name, self.default)
-        if block_tag and self.blocks[-1].text:
+        if block_tag and self.blocks[-1].pieces:
             self.blocks.append(Block())
         self.blocks[-1].cost += weight
         count = self.counts.setdefault(kind, [0, 0])
-        count[0 if self._inside()[1] else 1] += 1
+        count[0 if self._inside()[2] else 1] += 1
 
     def _open(self, name: str, rest: str) -> None:
         known = self.kinds.get((name, rest))
@@ -178,26 +244,52 @@ class Page:
         if name in SPACING:
             self._text(" ")
         if name in ("p", "li") and self.stack and self.stack[-1][0] == name:
-            self.stack.pop()  # the end tag may be left out
-        above, container = self._inside()
-        if name in CONTAINERS and not container and level < READERS and above < READERS:
+            self._pop(len(self.stack) - 1)  # the end tag may be left out
+        out, mark, container = self._inside()
+        if name in CONTAINERS and not container and level < READERS and out < READERS:
             # An article is not part of a menu or an advert that was left open before it.
-            above = 0
+            out = mark = 0
             self.containers += 1
             container = self.containers
         if name not in VOID and not rest.endswith("/"):
-            self.stack.append((name, max(above, level), container))
+            out = max(out, int(name in LEFT_OUT), level if level == READERS else 0)
+            if level == 1 and not out:
+                self.within.append(mark)
+                self.words.append(0)
+                mark = len(self.words) - 1
+            self.stack.append((name, out, mark, container))
+            self.opened[name] = self.opened.get(name, 0) + 1
         self._tag(kind, name, name in BLOCKS)
 
+    def _pop(self, first: int) -> None:
+        for name, *_ in self.stack[first:]:
+            self.opened[name] -= 1
+        del self.stack[first:]
+
     def _close(self, name: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == name:
-                self._tag(name, name, name in BLOCKS)
-                del self.stack[i:]
-                return
-        if name in BLOCKS:  # an end tag without a start still ends the block
+        if self.opened.get(name):
+            first = len(self.stack) - 1
+            while self.stack[first][0] != name:
+                first -= 1
+            self._tag(name, name, name in BLOCKS)
+            self._pop(first)
+        elif name in BLOCKS:  # an end tag without a start still ends the block
             self._tag(name, name, True)
 
+    def _count_words(self) -> None:
+        """Leave out marked elements, but not one around most words of a page without articles."""
+        held = list(self.words)
+        for mark in range(len(held) - 1, 0, -1):
+            if self.within[mark]:
+                held[self.within[mark]] += held[mark]
+        total = sum(self.words)
+        self.out = [False] * len(held)
+        for mark in range(1, len(held)):
+            wraps = not self.in_containers and 2 * held[mark] > total
+            self.out[mark] = not wraps or self.out[self.within[mark]]
+        for block in self.blocks:
+            block.words = sum(words for mark, words, _ in block.pieces if not self.out[mark])
+
     def region(self, word_score: float) -> tuple[int, int]:
         """First block and end of the best contiguous region; the earliest of equal ones."""
         best, best_range = 0.0, (0, 0)
@@ -212,20 +304,19 @@ class Page:
         return best_range
 
     def text(self, word_score: float) -> str:
-        """Main text: the best region, widened to the article that holds most of it."""
+        """Main text: the best region with the whole of every article it touches."""
         begin, end = self.region(word_score)
-        held: dict[int, int] = {}
-        for block in self.blocks[begin:end]:
-            held[block.container] = held.get(block.container, 0) + block.words
-        most = max(held, key=held.__getitem__, default=0)
-        chosen = (
-            [block for block in self.blocks if block.container == most]
-            if most
-            else self.blocks[begin:end]
+        touched = {block.container for block in self.blocks[begin:end] if block.words} - {0}
+        lines = (
+            " ".join(html.unescape("".join(self._kept(block))).split())
+            for i, block in enumerate(self.blocks)
+            if begin <= i < end or block.container in touched
         )
-        lines = (" ".join(html.unescape("".join(block.text)).split()) for block in chosen)
         return "\n".join(line for line in lines if line)
 
+    def _kept(self, block: Block) -> Iterator[str]:
+        return (text for mark, _, text in block.pieces if not self.out[mark])
+
 
 def tag_weights(
     pages: DataFrame, *, page: str = "html", most: int = 5000, outside: float = 10.0
@@ -234,6 +325,7 @@ def tag_weights(
 
     Counts of each kind inside and outside of articles are summed over all pages; the ``most``
     frequent kinds get the cost 0.05 plus ``outside`` times the share of them that stands outside.
+    ``most`` bounds the model: a rarer kind costs what the bare name of its tag does.
     """
 
     def count(batches):

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -280,6 +281,74 @@ def test_broken_pages(page):
     assert isinstance(text, str)
 
 
+BODY = " ".join(f"word{i}" for i in range(60))
+CHEAP = {"p": 0.05, "h1": 0.05, "article": 0.05}
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f'<div class="content-with-sidebar"><p>{BODY}</p></div>', BODY),
+        (f'<div class="hidden-xs"><p>{BODY}</p></div>', BODY),
+        (f'<div class="sidebar"><p>{BODY}</p></div>', BODY),
+        (f'<div class="comments-enabled"><article><p>{BODY}</p></article></div>', BODY),
+        (
+            f'<article><div class="article-header"><h1>Title</h1></div><p>{BODY}</p>'
+            '<section class="search-engines"><p>engines</p></section></article>',
+            f"Title\n{BODY}\nengines",
+        ),
+        (
+            f"<h1>Headline</h1><article><p>{BODY}</p></article><article><p>more of it</p></article>",
+            f"Headline\n{BODY}\nmore of it",
+        ),
+        (f'<div class="ad">{BODY}</div><article><p>few words</p></article>', "few words"),
+        (f'<p>{BODY}</p><div class="cookie-notice">agree</div><p>the end of it</p>', f"{BODY}\nthe end of it"),
+        (f'<p>{BODY}</p><div class="post-comments"><article>mine</article></div>', BODY),
+        (f'<p title="a > b">{BODY}</p><p title="open>end</p>', f"{BODY}\nend"),
+        (f"<p>{BODY} 3 < 4</p>", f"{BODY} 3 < 4"),
+    ],
+)
+def test_nothing_else_is_dropped(page, text):
+    assert html_extract.Page(page, CHEAP, 1.0).text(1.0) == text
+
+
+@pytest.mark.parametrize(
+    "part", ['<a "', '<a x="', '<a x="> ', "<a x='\"> ", "<b>", "<div>", '<p class="ad">x ', "<"]
+)
+def test_broken_pages_take_linear_time(part):
+    def seconds(n):
+        page = part * n + "</i>" * n + "<script" * n
+        return min(_timed(html_extract.Page, page, {}, 1.0) for _ in range(3))
+
+    assert seconds(40_000) < 30 * max(seconds(4_000), 0.01)
+
+
+def _timed(function, *values):
+    start = time.perf_counter()
+    function(*values)
+    return time.perf_counter() - start
+
+
+def test_region_equals_best_of_all_runs():
+    """Every run of blocks scored on its own; a run pays for the tags between its blocks."""
+    draw = random.Random(8)
+    for _ in range(300):
+        page = html_extract.Page("", {}, 1.0)
+        page.blocks = [
+            html_extract.Block(words=draw.randint(0, 6), cost=float(draw.randint(0, 8)))
+            for _ in range(draw.randint(1, 12))
+        ]
+        gains = [block.words - block.cost for block in page.blocks]
+        best = max(
+            sum(gains[i + 1 : j]) + page.blocks[i].words
+            for i in range(len(gains))
+            for j in range(i + 1, len(gains) + 1)
+        )
+        begin, end = page.region(1.0)
+        found = sum(gains[begin + 1 : end]) + page.blocks[begin].words if end else 0
+        assert found == max(best, 0)
+
+
 def test_main_text_of_pages(spark, data):
     pages = spark.read.parquet(f"{data}/pages.parquet")
     import html
