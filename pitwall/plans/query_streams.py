@@ -6,6 +6,8 @@ Each query lays its input down as files in the shared folder, streams over them
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,17 @@ from pitwall.plans.query_laps import COMPLETE
 from pitwall.plans.query_quality import REASON
 from pitwall.plans.registry import query
 from pitwall.sources import decode, layers, storage
-from pitwall.streaming import completion, frame_tables, frames, health, ingest, jobs, materialize, parity
+from pitwall.streaming import (
+    archive_index,
+    completion,
+    frame_tables,
+    frames,
+    health,
+    ingest,
+    jobs,
+    materialize,
+    parity,
+)
 
 
 def _files(t, df: DataFrame, name: str, per_trigger: int = 4) -> DataFrame:
@@ -429,66 +441,199 @@ _CAR = """race_id: string, car_id: string, driver_id: string, driver_name: strin
 _STATE = f"""event_id string, event_time string, race_id string, snapshot_id bigint,
     complete boolean, cars array<struct<telemetry: struct<{_CAR}>, stale: boolean>>"""
 _CONTROL_FULL = f"{_CONTROL}, event_id string, event_time string"
+_KNOWN = "event_id string, event_time string, race_id string"
+_SAMPLE = f"{_KNOWN}, car_id string, snapshot_id bigint, distance_m double"
+_LINE = f"{_KNOWN}, car_id string, lap int, checkpoint_id string, segment_time_ms bigint"
+_INCIDENT = f"{_KNOWN}, car_id string, reason string, lap int, penalty_seconds int"
+_REVISION = f"""{_KNOWN}, revision int, cars array<struct<car_id: string, lap_count: bigint,
+    best_lap_time_ms: bigint, worst_lap_time_ms: bigint>>"""
+_REFUSED = f"{_KNOWN}, source_offset bigint"
 CONTRACTS = {
     "control": ({3: _CONTROL_FULL}, _CONTROL_FULL),
     "state": ({4: _STATE}, _STATE),
     "pitstop": ({5: _STOP}, _STOP),
     "lap_completed": LAP_CONTRACT,
+    "telemetry": ({10: _SAMPLE}, _SAMPLE),
+    "validated": ({11: _SAMPLE}, _SAMPLE),
+    "timing": ({12: _LINE}, _LINE),
+    "incident": ({13: _INCIDENT}, _INCIDENT),
+    "analytics": ({14: _REVISION}, _REVISION),
+    "dead_letter": ({15: _REFUSED}, _REFUSED),
 }
 
 
-def race_archive(t) -> DataFrame:
-    """Broker records of four topics derived from the shared tables."""
-    moment = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    when = F.lit("2024-01-01T00:00:00").alias("event_time")
+def race_archive(t, topics=tuple(CONTRACTS)) -> DataFrame:
+    """Broker records of all ten topics, or of some, derived from the shared tables.
+
+    A race runs on one of four days; some lap records cannot be read.
+    """
+    day = F.col("race_id").substr(6, 20).cast("int") % 4
+    moment = F.date_add(F.lit("2024-01-01").cast("date"), day).cast("timestamp")
+    when = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss").alias("event_time")
 
     def record(df: DataFrame, topic: str, offset, schema_id: int, *fields) -> DataFrame:
         return df.select(
             F.col("race_id").cast("binary").alias("key"),
-            _envelope(schema_id, *fields).alias("value"),
+            _envelope(schema_id, when, *fields).alias("value"),
             F.lit(topic).alias("topic"),
             F.lit(0).alias("partition"),
             offset.cast("bigint").alias("offset"),
             moment.alias("timestamp"),
         )
 
-    control = t("control").withColumn("event_id", F.concat_ws(":", "race_id", "source_sequence"))
+    def named(df: DataFrame, *parts) -> DataFrame:
+        return df.withColumn("event_id", F.concat_ws(":", *parts))
+
     names = [part.split(":")[0].strip() for part in _CAR.split(",")]
     car = F.struct(F.struct(*names).alias("telemetry"), F.lit(False).alias("stale"))
     state = (
         t("final_state")
         .groupBy("race_id")
         .agg(F.max("snapshot_id").alias("snapshot_id"), F.collect_list(car).alias("cars"))
-        .withColumn("event_id", F.concat("race_id", F.lit(":state")))
         .withColumn("complete", F.lit(True))
     )
-    return (
-        record(control, "control", F.col("source_sequence"), 3, "race_id", "status",
-               "source_sequence", "event_id", when)
-        .unionByName(
-            record(state, "state", F.lit(1), 4, "event_id", when, "race_id", "snapshot_id",
-                   "complete", "cars")
-        )
-        .unionByName(
-            record(t("pitstops"), "pitstop", F.col("event_id"), 5, "event_id", "race_id",
-                   "car_id", "stop_number", "phase", "pit_stop_time_ms", when)
-        )
-        .unionByName(lap_records(t, "laps_raw"))
+    summary = F.struct("car_id", "lap_count", "best_lap_time_ms", "worst_lap_time_ms")
+    revisions = (
+        t("online_analytics")
+        .groupBy("race_id", "revision")
+        .agg(F.collect_list(summary).alias("cars"))
     )
+    number = F.xxhash64("event_id")
+    sample = ("event_id", "race_id", "car_id", "snapshot_id", "distance_m")
+    line = ("event_id", "race_id", "car_id", "lap", "checkpoint_id", "segment_time_ms")
+    broken = lap_records(t, "laps", "pit_lap").withColumn("value", F.unhex(F.lit("00000000077B")))
+    stops = ("event_id", "race_id", "car_id", "stop_number", "phase", "pit_stop_time_ms")
+    incident = ("event_id", "race_id", "car_id", "reason", "lap", "penalty_seconds")
+    control = named(t("control"), "race_id", "source_sequence")
+    records = {
+        "control": record(control, "control", F.col("source_sequence"), 3, "race_id", "status",
+                          "source_sequence", "event_id"),
+        "state": record(named(state, "race_id", F.lit("state")), "state", F.lit(1), 4,
+                        "event_id", "race_id", "snapshot_id", "complete", "cars"),
+        "pitstop": record(t("pitstops"), "pitstop", F.col("event_id"), 5, *stops),
+        "lap_completed": lap_records(t, "laps_raw").unionByName(broken),
+        "telemetry": record(t("frames"), "telemetry", number, 10, *sample),
+        "validated": record(t("frames"), "validated", number, 11, *sample),
+        "timing": record(t("timing"), "timing", number, 12, *line),
+        "incident": record(t("incidents"), "incident", number, 13, *incident),
+        "analytics": record(named(revisions, "race_id", "revision"), "analytics",
+                            F.col("revision"), 14, "event_id", "race_id", "revision", "cars"),
+        "dead_letter": record(t("outbox"), "dead_letter", number, 15, "event_id", "race_id",
+                              F.col("id").alias("source_offset")),
+    }
+    return reduce(DataFrame.unionByName, [records[topic] for topic in topics])
+
+
+# Races whose laps also went through the incremental path.
+_LIVE_RACE = "CAST(substr(race_id, 6) AS BIGINT) % 2 = 0"
+
+
+def _layer_base(t, topics, live: str | None = None) -> str:
+    """Folder of the layers of all finished races, some with laps of the incremental path."""
+    base = storage.scratch(t.spark, "medallion")
+    stream = _files(t, race_archive(t, topics), "race-records", 64)
+    jobs.envelope_archive(
+        stream, f"{base}/{archive_index.ARCHIVE}", f"{base}/checkpoint", None
+    ).awaitTermination()
+    if live:
+        stream = _files(t, lap_records(t, "laps", live), "live-laps", 64)
+        jobs.stream_lap_metrics(
+            stream, decode_laps, base, f"{base}/lap-checkpoint", None
+        ).awaitTermination()
+    materialize.materialize_finished_races(t.spark, base, CONTRACTS, decode.json_decoder)
+    return base
 
 
 @query("materialize_finished_races", f"""SELECT c.* FROM ({CLASSIFICATION}) c
     WHERE c.race_id IN (SELECT race_id FROM control WHERE status = 'finished')""")
 def _(t):
-    base = storage.scratch(t.spark, "medallion")
-    stream = _files(t, race_archive(t), "race-records", 16)
-    jobs.envelope_archive(
-        stream, f"{base}/{materialize.ARCHIVE}", f"{base}/checkpoint", None
-    ).awaitTermination()
-    materialize.materialize_finished_races(t.spark, base, CONTRACTS, decode.json_decoder)
+    base = _layer_base(t, ("control", "state", "pitstop", "lap_completed"))
     return materialize.read_classification(t.spark, base)
 
 
+_EVENTS_OF = " UNION ALL ".join(
+    f"SELECT '{topic}' AS topic, race_id, {event} AS event_id FROM {source}"
+    for topic, event, source in (
+        ("control", "concat(race_id, ':', CAST(source_sequence AS VARCHAR))", "control"),
+        ("state", "concat(race_id, ':state')", "(SELECT DISTINCT race_id FROM final_state) s"),
+        ("pitstop", "event_id", "pitstops"),
+        ("telemetry", "event_id", "frames"),
+        ("validated", "event_id", "frames"),
+        ("timing", "event_id", "timing"),
+        ("incident", "event_id", "incidents"),
+        ("analytics", "concat(race_id, ':', CAST(revision AS VARCHAR))",
+         "(SELECT DISTINCT race_id, revision FROM online_analytics) a"),
+        ("dead_letter", "event_id", "outbox"),
+        ("lap_completed", "event_id", f"(SELECT * FROM laps WHERE {_LIVE_RACE}) l"),
+        ("lap_completed", "event_id", f"(SELECT * FROM laps_raw WHERE NOT {_LIVE_RACE}) r"),
+    )
+)
+
+
+_LAP_COLUMNS = """event_id, race_id, car_id, team_id, lap_time_ms, valid, pit_lap, neutralized,
+    event_time, kafka_partition, kafka_offset, batch_id"""
+
+
+@query(
+    "materialized_layers",
+    f"""WITH done AS (SELECT race_id FROM control WHERE status = 'finished'),
+    chosen_laps AS (
+        SELECT {_LAP_COLUMNS} FROM laps WHERE {_LIVE_RACE}
+        UNION ALL SELECT {_LAP_COLUMNS} FROM laps_raw WHERE NOT {_LIVE_RACE})
+    SELECT 'bronze' AS layer, topic, race_id, event_id, CAST(NULL AS VARCHAR) AS detail,
+           CAST(NULL AS BIGINT) AS time_ms
+    FROM ({_EVENTS_OF}) e WHERE race_id IN (SELECT race_id FROM done)
+    UNION ALL
+    SELECT 'laps', 'lap_completed', race_id, event_id, 'incremental', lap_time_ms FROM laps
+    WHERE {_LIVE_RACE} AND race_id IN (SELECT race_id FROM done)
+    UNION ALL
+    SELECT 'laps', 'lap_completed', race_id, event_id, 'raw', lap_time_ms FROM laps_raw
+    WHERE NOT {_LIVE_RACE} AND race_id IN (SELECT race_id FROM done)
+    UNION ALL
+    SELECT 'stops', 'pitstop', race_id, event_id, phase, pit_stop_time_ms FROM pitstops
+    WHERE race_id IN (SELECT race_id FROM done)
+    UNION ALL
+    SELECT 'gold', NULL, race_id, car_id, concat_ws(':', CAST(position AS VARCHAR),
+           CAST(valid_lap_count AS VARCHAR), CAST(pit_stop_count AS VARCHAR)), best_lap_time_ms
+    FROM ({CLASSIFICATION.replace('laps_raw', 'chosen_laps')}) c
+    WHERE race_id IN (SELECT race_id FROM done)
+    UNION ALL
+    SELECT 'dead', 'lap_completed', NULL, NULL, '{decode.UNREADABLE}', NULL FROM laps WHERE pit_lap""",
+)
+def _(t):
+    """Bronze of ten topics, both lap branches, pit stops, gold and dead letters of one job."""
+    base, none = _layer_base(t, tuple(CONTRACTS), _LIVE_RACE), F.lit(None)
+
+    def layer(df, name, topic, race, event, detail, time_ms):
+        return df.select(
+            F.lit(name).alias("layer"),
+            topic.cast("string").alias("topic"),
+            race.cast("string").alias("race_id"),
+            event.cast("string").alias("event_id"),
+            detail.cast("string").alias("detail"),
+            time_ms.cast("bigint").alias("time_ms"),
+        )
+
+    def stored(table):
+        return t.spark.read.parquet(f"{base}/{table}")
+
+    race, event = F.col("race_id"), F.col("event_id")
+    lap, stop = F.lit("lap_completed"), F.lit("pitstop")
+    return (
+        layer(stored(materialize.BRONZE_EVENTS), "bronze", F.col("topic"), race, event, none, none)
+        .unionByName(layer(stored(materialize.SILVER_LAPS), "laps", lap, race, event,
+                           F.col("lap_source"), F.col("lap_time_ms")))
+        .unionByName(layer(stored(materialize.SILVER_STOPS), "stops", stop, race, event,
+                           F.col("phase"), F.col("pit_stop_time_ms")))
+        .unionByName(layer(materialize.read_classification(t.spark, base), "gold", none, race,
+                           F.col("car_id"),
+                           F.concat_ws(":", "position", "valid_lap_count", "pit_stop_count"),
+                           F.col("best_lap_time_ms")))
+        .unionByName(layer(archive_index.read_dead_letters(t.spark, base), "dead", F.col("topic"),
+                           none, none, F.col("reason"), none))
+    )
+
+
 _SUMMARY = """race_id string, revision int, cars array<struct<car_id: string, lap_count: bigint,
     best_lap_time_ms: bigint, worst_lap_time_ms: bigint>>"""
 
@@ -520,7 +665,7 @@ def _(t):
     broken = lap_records(t, "laps", "pit_lap").withColumn("value", F.unhex(F.lit("00000000077B")))
     records = lap_records(t, "laps_raw").unionByName(summaries).unionByName(broken)
     layers.layer_table_sink(
-        envelope_projection(records), f"{base}/{materialize.ARCHIVE}", ("topic", "event_date_utc")
+        envelope_projection(records), f"{base}/{archive_index.ARCHIVE}", ("topic", "event_date_utc")
     )
     contracts = {"lap_completed": LAP_CONTRACT, "analytics": ({9: _SUMMARY}, _SUMMARY)}
     return parity.archive_parity(t.spark, base, contracts, decode.json_decoder)

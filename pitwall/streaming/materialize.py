@@ -2,51 +2,53 @@
 
 Each run writes its races under one ``run_id`` partition of every layer table and commits the run
 last.  Readers see committed runs only, so a failed run leaves nothing visible and is simply
-repeated; the number of folders grows with the runs, not with the races.
+repeated; the number of folders grows with the runs, not with the races.  A run indexes the files
+archived since the last one and then reads only the topic and day folders of pending races.
 """
 
 from __future__ import annotations
 
+import logging
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from pitwall.operators import gold, laps, lifecycle
 from pitwall.operators.order import latest_complete_frame
 from pitwall.operators.projections import bronze_projection, flatten_state_cars
 from pitwall.schemas import TOPICS
-from pitwall.sources.decode import (
-    Decoder,
-    avro_decoder,
-    decode_by_writer_schema,
-    envelope_header,
-    split_decoded,
-)
+from pitwall.sources.decode import Decoder, avro_decoder, decode_by_writer_schema, split_decoded
 from pitwall.sources.layers import archive_scan, committed_batch_scan, read_layer
 from pitwall.sources.storage import CHECKPOINT_SETTING, shared_root
+from pitwall.streaming.archive_index import (
+    ARCHIVE,
+    Contracts,
+    days_of_races,
+    index_archive,
+    records_of_days,
+)
 from pitwall.streaming.jobs import LAP_COMMITS, LAP_FACTS, LAP_PARTIALS, LAP_WINDOWS
 
-ARCHIVE = "telemetry_raw"
+log = logging.getLogger(__name__)
+
 BRONZE_EVENTS = "bronze/events"
-BRONZE_DEAD = "bronze/dead_letters"
 SILVER_LAPS = "silver/laps"
 SILVER_STOPS = "silver/pit_stops"
 SILVER_FINAL = "silver/final_telemetry"
 GOLD_CLASSIFICATION = "gold/classification"
 GOLD_SUMMARY = "gold/summary"
 GOLD_COMMITS = "gold/commits"
+GOLD_FAILURES = "gold/failures"
 
 RUN = "run_id string"
 SUMMARIES = f"race_id string, json string, {RUN}"
 RUN_COMMITS = f"races bigint, {RUN}"
-# One record is known by its broker position.
-POSITION = ["topic", "kafka_partition", "kafka_offset"]
-DEAD = "topic string, kafka_partition int, kafka_offset bigint, avro_envelope binary, reason string"
-NO_CONTRACT = "no contract for the topic"
+FAILURE = "part int, parts int, error string, failed_at timestamp"
 FACTS = """event_id string, race_id string, car_id string, lap int, lap_time_ms bigint,
     valid boolean, sectors_ms array<bigint>, pit_lap boolean, race_position int,
     event_time string, kafka_partition int, kafka_offset bigint, batch_id bigint"""
@@ -57,9 +59,6 @@ PARTIALS = """race_id string, car_id string, completed_lap_count bigint, valid_l
     best_lap_time_ms bigint, worst_lap_time_ms bigint, sum_lap_time_ms bigint, batch_id bigint"""
 BATCH_COMMITS = "done boolean, batch_id bigint"
 
-# topic -> (writer schema per id, reader schema)
-Contracts = Mapping[str, tuple[Mapping[int, str], str]]
-
 
 def _checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Cut a small, often used table from its lineage, in the shared folder."""
@@ -92,22 +91,6 @@ def read_summaries(spark: SparkSession, base: str) -> DataFrame:
     return read_committed(spark, base, GOLD_SUMMARY, _schema(SUMMARIES)).select("race_id", "json")
 
 
-def undecodable(archive: DataFrame, contracts: Contracts, decoder: Decoder) -> DataFrame:
-    """Archived records that no contract can read, with their envelope and the reason."""
-    columns = [*POSITION, "avro_envelope", "reason"]
-    strange = envelope_header(archive.filter(~F.col("topic").isin(*contracts)))
-    dead = strange.withColumn("reason", F.lit(NO_CONTRACT)).select(*columns)
-    for topic, (registry, reader) in contracts.items():
-        rows = decode_by_writer_schema(archive, topic, registry, reader, decoder)
-        dead = dead.unionByName(split_decoded(rows)[1].select(*columns))
-    return dead
-
-
-def read_dead_letters(spark: SparkSession, base: str) -> DataFrame:
-    """Dead letters of the committed runs."""
-    return read_committed(spark, base, BRONZE_DEAD, _schema(f"{DEAD}, {RUN}")).drop("run_id")
-
-
 def read_classification(spark: SparkSession, base: str) -> DataFrame:
     """Gold classification of the races done so far."""
     schema = _schema(f"{gold.CLASSIFICATION}, {RUN}")
@@ -135,21 +118,24 @@ def materialize_finished_races(
     base: str,
     contracts: Contracts,
     decoder: Decoder = avro_decoder,
+    part: tuple[int, int] = (0, 1),
 ) -> DataFrame:
     """Write bronze, silver and gold of every finished race that has no summary yet.
 
-    A race whose cars are not all finished in the archive waits for the next run.  Records that
-    cannot be decoded become dead letters of the first run that sees them.  Returns the races
-    written.
+    A race whose cars are not all finished in the archive waits for the next run.  ``part`` limits
+    the run to one of several parts of the races, by hash.  Returns the races written.
     """
-    archive = archive_scan(spark, f"{base}/{ARCHIVE}")
+    index_archive(spark, base, contracts, decoder)
     write = _run_writer(spark, base)
 
-    def decoded(topic: str) -> DataFrame:
+    def decode(archive: DataFrame, topic: str) -> DataFrame:
         registry, reader = contracts[topic]
         rows = decode_by_writer_schema(archive, topic, registry, reader, decoder)
         return split_decoded(rows)[0]
 
+    def decoded(topic: str) -> DataFrame:
+        return decode(records_of_days(spark, base, topic, days), topic)
+
     def events(topic: str, races: DataFrame) -> DataFrame:
         return decoded(topic).select("evento.*").join(races, "race_id", "left_semi")
 
@@ -158,8 +144,14 @@ def materialize_finished_races(
         rows = read_layer(spark, f"{base}/{table}", _schema(schema))
         return committed_batch_scan(rows.join(ready, "race_id", "left_semi"), commits)
 
-    controls = decoded("control").select("evento.*")
-    pending = _checkpointed(spark, lifecycle.pending_races(controls, read_summaries(spark, base)))
+    archived = archive_scan(spark, f"{base}/{ARCHIVE}", ["control"])
+    controls = decode(archived, "control").select("evento.*")
+    due = lifecycle.pending_races(controls, read_summaries(spark, base))
+    number, parts = part
+    pending = _checkpointed(
+        spark, due.filter(F.pmod(F.xxhash64("race_id"), F.lit(parts)) == number)
+    )
+    days = days_of_races(spark, base, pending)
     newest = latest_complete_frame(
         flatten_state_cars(events("state", pending))
         .withColumn("snapshot_id", F.col("frame_snapshot_id"))
@@ -180,9 +172,6 @@ def materialize_finished_races(
     bronze = _bronze(decoded, contracts).join(ready, "race_id", "left_semi")
     write(gold.bronze_union(bronze, incremental(LAP_WINDOWS, WINDOWS), coverage), BRONZE_EVENTS)
 
-    known = read_dead_letters(spark, base).select(*POSITION)
-    write(undecodable(archive, contracts, decoder).join(known, POSITION, "left_anti"), BRONZE_DEAD)
-
     classified = write(
         gold.classification(final, laps.valid_lap_stats(stored_laps), laps.pit_stop_counts(stops)),
         GOLD_CLASSIFICATION,
@@ -192,8 +181,70 @@ def materialize_finished_races(
     return ready
 
 
+def materialize_or_split(
+    spark: SparkSession,
+    base: str,
+    contracts: Contracts,
+    decoder: Decoder = avro_decoder,
+    most_parts: int = 64,
+) -> int:
+    """Materialize what is due; where that fails, the halves of it, so that one broken race does
+    not hold up the others.
+
+    A part that still fails at ``most_parts`` is logged in a table and left for the next call, as
+    its races stay pending.  Returns the number of parts left over.
+    """
+    open_parts, failed = [(0, 1)], 0
+    while open_parts:
+        number, parts = open_parts.pop()
+        try:
+            materialize_finished_races(spark, base, contracts, decoder, (number, parts))
+        except Exception as error:
+            log.exception("materialization of part %d of %d failed", number, parts)
+            if 2 * parts <= most_parts:
+                open_parts += [(number, 2 * parts), (number + parts, 2 * parts)]
+                continue
+            failed += 1
+            row = (number, parts, str(error)[:2000], datetime.now(UTC))
+            spark.createDataFrame([row], FAILURE).write.mode("append").parquet(
+                f"{base}/{GOLD_FAILURES}"
+            )
+    return failed
+
+
+def follow_finished_races(
+    spark: SparkSession,
+    base: str,
+    contracts: Contracts,
+    checkpoint: str,
+    interval: str = "30 seconds",
+    decoder: Decoder = avro_decoder,
+    most_parts: int = 64,
+) -> StreamingQuery:
+    """Materialize races as the archive tells that they have finished.
+
+    A clock stream starts a run at every interval, also without new control events, so that races
+    whose last frames were late and parts that failed are tried again.  A run without pending races
+    reads the new files and the control topic only.
+    """
+
+    def tick(_: DataFrame, __: int) -> None:
+        materialize_or_split(spark, base, contracts, decoder, most_parts)
+
+    return (
+        spark.readStream.format("rate")
+        .option("rowsPerSecond", 1)
+        .option("numPartitions", 1)
+        .load()
+        .writeStream.foreachBatch(tick)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=interval)
+        .start()
+    )
+
+
 def _bronze(decoded: Callable[[str], DataFrame], contracts: Contracts) -> DataFrame:
-    """Minimum columns of every topic: one pass over the archive, a branch per topic folder."""
+    """Minimum columns of every topic: a branch per topic, each over the folders of its days."""
     branches = [
         bronze_projection(decoded(topic)) for topic in TOPICS.values() if topic in contracts
     ]

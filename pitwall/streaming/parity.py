@@ -9,7 +9,7 @@ from pitwall.operators import gold, laps
 from pitwall.operators.projections import flatten_analytics_cars
 from pitwall.sources.decode import Decoder, avro_decoder, decode_by_writer_schema, split_decoded
 from pitwall.sources.layers import archive_scan
-from pitwall.streaming.materialize import ARCHIVE, Contracts
+from pitwall.streaming.archive_index import ARCHIVE, Contracts
 
 LAP_TOPIC = "lap_completed"
 ANALYTICS_TOPIC = "analytics"
