@@ -5,7 +5,8 @@ from its own start. In the overlap the pre-tokens of a chunk and of the next one
 some position: a match depends on what follows its start only, so from a common start on both
 agree. The first common start is a seam; the pieces between seams are encoded one by one, and the
 ids are passed on as they come. A chunk without a seam (one pre-token fills the overlap) is joined
-with the next one, so results never depend on the chunk width. The pattern may look ahead behind
+with the next one, so results never depend on the chunk width; one scan then goes on from the last
+seam until the next is found, so that no character is scanned more than three times. The pattern may look ahead behind
 white space only, and at most three characters further than a match; it must not look back.
 """
 
@@ -67,17 +68,27 @@ def seams(
         return head, {at for at in own if at >= begin + chunk}
 
     scanned = list(threads.map(scan, cuts))
-    found, broken = [0], False
+    found = [0]
+    walk, at = None, 0  # scan that goes on from the last seam, and how far it has come
     for i in range(1, len(cuts)):
         tail = scanned[i - 1][1]
-        if broken:  # the chunk before may be out of step: scan on from the last seam
-            end = min(size, cuts[i] + overlap)
-            tail = starts(pattern, text, found[-1], end, cuts[i])
+        if walk:  # the chunk before may be out of step
+            tail = set()
+            while at < cuts[i] + overlap:
+                if at >= cuts[i]:
+                    tail.add(at)
+                match = next(walk, None)
+                at = match.end() if match else size + overlap
         # A cut behind white space would change what a look-ahead of the pattern sees.
         common = {at for at in tail & scanned[i][0] if not text[at - 1].isspace()}
-        broken = not common
         if common:
             found.append(min(common))
+            walk = None
+        elif not walk:
+            walk, at = pattern.finditer(text, found[-1], concurrent=True), found[-1]
+            while at < cuts[i] + overlap:
+                match = next(walk, None)
+                at = match.end() if match else size + overlap
     if found[-1] != size:
         found.append(size)
     return found

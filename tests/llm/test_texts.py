@@ -150,6 +150,27 @@ def test_bpe_ids_and_bytes(awkward):
     assert all(bytes(r["bytes"]).decode() == (r["text"] or "") for r in decoded.collect())
 
 
+@pytest.mark.parametrize("unit", [" ", "a", "7", "!", "\n", "é", " \n"])
+def test_bpe_seams_of_long_runs(unit):
+    """Runs over many chunks: seams are starts of the plain scan, found in linear time."""
+    import regex
+    from concurrent.futures import ThreadPoolExecutor
+
+    pattern, threads = regex.compile(PATTERN), ThreadPoolExecutor(2)
+    text = "one two " + unit * 3000 + " three's four" + unit * 500 + "end of it. " * 40
+    true = {0, len(text)} | {match.end() for match in pattern.finditer(text)}
+    for chunk, overlap in ((64, 16), (128, 40), (1000, 100)):
+        found = bpe.seams(pattern, text, chunk, overlap, threads)
+        assert set(found) <= true and found == sorted(set(found)) and found[-1] == len(text)
+
+    def seconds(n):
+        return min(
+            _timed(bpe.seams, pattern, unit * n, bpe.CHUNK, bpe.OVERLAP, threads) for _ in range(3)
+        )
+
+    assert seconds(4_000_000) < 30 * max(seconds(400_000), 0.01)
+
+
 def test_bpe_chunks_do_not_matter():
     with open(BYTE_RANKS, "rb") as file:
         codec = bpe.Codec(bpe.read_ranks(file.read()), PATTERN)
