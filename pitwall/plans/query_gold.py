@@ -234,7 +234,7 @@ def _(t):
 
 
 _CUTOFF = "TIMESTAMP '2001-10-01 00:00:00'"
-_CANDIDATES = f"""SELECT e.event_id, e.race_id, e.received_at, e.payload
+RETENTION_CANDIDATES = f"""SELECT e.event_id, e.race_id, e.received_at, e.payload
     FROM stream_events e JOIN races r ON r.race_id = e.race_id
     WHERE r.status IN ('finished', 'stopped', 'failed')
       AND r.finished_at < {_CUTOFF} - INTERVAL 30 DAY AND e.received_at < {_CUTOFF} - INTERVAL 30 DAY
@@ -244,7 +244,7 @@ _CANDIDATES = f"""SELECT e.event_id, e.race_id, e.received_at, e.payload
     ORDER BY e.received_at, e.event_id LIMIT 100000"""
 
 
-def _candidates(t):
+def retention_candidates(t):
     return lifecycle.retention_candidates(
         t("stream_events"),
         t("races"),
@@ -255,19 +255,19 @@ def _candidates(t):
     )
 
 
-@query("retention_candidates", _CANDIDATES)
+@query("retention_candidates", RETENTION_CANDIDATES)
 def _(t):
-    return _candidates(t).select("event_id", "race_id", "received_at", "payload")
+    return retention_candidates(t).select("event_id", "race_id", "received_at", "payload")
 
 
 @query(
     "retention_apply",
     f"""SELECT e.event_id, e.race_id, CASE WHEN c.event_id IS NOT NULL THEN '{{}}'
                ELSE e.payload END AS payload
-        FROM stream_events e LEFT JOIN ({_CANDIDATES}) c ON c.event_id = e.event_id""",
+        FROM stream_events e LEFT JOIN ({RETENTION_CANDIDATES}) c ON c.event_id = e.event_id""",
 )
 def _(t):
-    return lifecycle.retention_apply(t("stream_events"), _candidates(t)).select(
+    return lifecycle.retention_apply(t("stream_events"), retention_candidates(t)).select(
         "event_id", "race_id", "payload"
     )
 

@@ -11,10 +11,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.operators import dedup, laps
-from pitwall.operators.ranges import keep_first
+from pitwall.operators import dedup, laps, lifecycle
 from pitwall.operators.projections import envelope_projection
-from pitwall.plans.query_gold import CLASSIFICATION, PARITY
+from pitwall.plans.query_gold import (
+    CLASSIFICATION,
+    PARITY,
+    RETENTION_CANDIDATES,
+    retention_candidates,
+)
 from pitwall.plans.query_laps import COMPLETE
 from pitwall.plans.query_quality import REASON
 from pitwall.plans.registry import query
@@ -27,6 +31,7 @@ from pitwall.streaming import (
     health,
     ingest,
     jobs,
+    keyed,
     materialize,
     parity,
 )
@@ -159,14 +164,12 @@ def decode_laps(rows: DataFrame) -> DataFrame:
 )
 def _(t):
     base = storage.scratch(t.spark, "lap-layers")
+    # Runs are merged two at a time, so that the few triggers of the query pass several levels.
     stream = _files(t, lap_records(t), "lap-records", 2)
     jobs.stream_lap_metrics(
-        stream, decode_laps, base, f"{base}-checkpoint", None
+        stream, decode_laps, base, f"{base}-checkpoint", None, fan=2
     ).awaitTermination()
-    partials = layers.committed_batch_scan(
-        t.spark.read.parquet(f"{base}/{jobs.LAP_PARTIALS}"),
-        t.spark.read.parquet(f"{base}/{jobs.LAP_COMMITS}"),
-    )
+    partials = jobs.lap_table(t.spark, base, jobs.LAP_PARTIALS, fan=2)
     return laps.merge_lap_partials(partials).drop("average_lap_time_ms")
 
 
@@ -179,13 +182,10 @@ def _(t):
     base = storage.scratch(t.spark, "lap-batches")
     sink = jobs.lap_microbatch_sink(decode_laps, base)
     first = lap_records(t, "laps", "valid")
-    # The first batch is delivered again after the second one and replaces itself.
+    # The first batch is delivered again after the second one and changes nothing.
     for number, batch in ((0, first), (1, lap_records(t, "laps", "NOT valid")), (0, first)):
         sink(batch, number)
-    facts = layers.committed_batch_scan(
-        t.spark.read.parquet(f"{base}/{jobs.LAP_FACTS}"),
-        t.spark.read.parquet(f"{base}/{jobs.LAP_COMMITS}"),
-    )
+    facts = jobs.lap_table(t.spark, base, jobs.LAP_FACTS)
     return facts.drop("sectors_ms", "race_position", "event_time")
 
 
@@ -207,18 +207,65 @@ def _(t):
 
 def _upserts(t, stream: DataFrame, keys: list[str]) -> DataFrame:
     """Run an update stream to completion; the newest row of each key."""
-    path = storage.scratch(t.spark, "upserts")
+    return _merged(t, stream, keys, keyed.replace_rows(keys), "update")
+
+
+def _merged(t, stream: DataFrame, keys: list[str], merge: keyed.Merge, mode: str) -> DataFrame:
+    """Run a stream into a keyed table and read its last version."""
+    path = storage.scratch(t.spark, "keyed")
     running = (
-        stream.writeStream.foreachBatch(jobs.upsert_sink(f"{path}/table"))
-        .outputMode("update")
+        stream.writeStream.foreachBatch(keyed.keyed_sink(f"{path}/table", keys, merge, 16))
+        .outputMode(mode)
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     running.awaitTermination()
-    return keep_first(
-        t.spark.read.parquet(f"{path}/table"), keys, [F.col("batch_id").desc()]
-    ).drop("batch_id")
+    return keyed.read_table(t.spark, f"{path}/table", stream.schema)
+
+
+@query(
+    "latest_wins_stream",
+    """SELECT race_id, max(simulation_time_us) AS state_sequence FROM frames GROUP BY race_id""",
+)
+def _(t):
+    frames = t("frames").select("race_id", F.col("simulation_time_us").alias("state_sequence"))
+    # States reach the four triggers out of order.
+    shuffled = frames.repartition(8, F.xxhash64("state_sequence", F.rand(3)))
+    stream = _files(t, shuffled, "states", 2)
+    return _merged(t, stream, ["race_id"], keyed.latest_wins(), "append")
+
+
+@query(
+    "reference_window_stream",
+    """SELECT t.event_id, t.race_id, t.car_id, t.lap, t.checkpoint_id FROM timing t
+       JOIN (SELECT race_id, max(lap) AS m FROM timing GROUP BY race_id) x
+         ON x.race_id = t.race_id WHERE t.lap >= x.m - 2""",
+)
+def _(t):
+    rows = t("timing").select("event_id", "race_id", "car_id", "lap", "checkpoint_id")
+    # Crossings come out of order over four triggers, some of them twice.
+    again = rows.filter(F.col("lap") % 3 == 0)
+    shuffled = rows.unionByName(again).repartition(8, F.xxhash64("event_id", F.rand(7)))
+    stream = _files(t, shuffled, "window-in", 2)
+    return _merged(t, stream, ["race_id"], keyed.reference_window(), "append")
+
+
+@query(
+    "retention_table",
+    f"""SELECT e.event_id, e.race_id, CASE WHEN c.event_id IS NOT NULL THEN '{{}}'
+               ELSE e.payload END AS payload
+        FROM stream_events e LEFT JOIN ({RETENTION_CANDIDATES}) c ON c.event_id = e.event_id""",
+)
+def _(t):
+    path = storage.scratch(t.spark, "retention")
+    columns = ["event_id", "race_id", "payload"]
+    events = t("stream_events").select(*columns)
+    keyed.merge_batch(events, path, ["race_id"], keyed.added_rows, 0)
+    old = retention_candidates(t).select(*columns)
+    # Only buckets with an expired row are written again.
+    keyed.merge_batch(old, path, ["race_id"], keyed.blank_payloads(lifecycle.BLANK), 1)
+    return keyed.read_table(t.spark, path, events.schema)
 
 
 @query(
@@ -264,10 +311,10 @@ def _(t):
     jobs.stream_lap_metrics(
         _files(t, records, "accounted-in", 1000), decode_laps, base, f"{base}-checkpoint", None
     ).awaitTermination()
-    counts = t.spark.read.parquet(f"{base}/{jobs.LAP_COMMITS}").agg(
+    counts = jobs.lap_table(t.spark, base, jobs.LAP_COMMITS).agg(
         *[F.sum(c).alias(c) for c in ("received", "stored", "replayed", "dead")]
     )
-    dead = t.spark.read.parquet(f"{base}/{jobs.LAP_DEAD_LETTERS}").agg(
+    dead = jobs.lap_table(t.spark, base, jobs.LAP_DEAD_LETTERS).agg(
         F.count_if(F.col("reason") == decode.UNKNOWN_SCHEMA).alias("unknown_schema"),
         F.count_if(F.col("reason") == decode.UNREADABLE).alias("unreadable"),
     )

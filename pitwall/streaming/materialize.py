@@ -23,7 +23,7 @@ from pitwall.operators.order import latest_complete_frame
 from pitwall.operators.projections import bronze_projection, flatten_state_cars
 from pitwall.schemas import TOPICS
 from pitwall.sources.decode import Decoder, avro_decoder, decode_by_writer_schema, split_decoded
-from pitwall.sources.layers import archive_scan, committed_batch_scan, read_layer
+from pitwall.sources.layers import archive_scan, read_layer
 from pitwall.sources.storage import CHECKPOINT_SETTING, shared_root
 from pitwall.streaming.archive_index import (
     ARCHIVE,
@@ -32,7 +32,8 @@ from pitwall.streaming.archive_index import (
     index_archive,
     records_of_days,
 )
-from pitwall.streaming.jobs import LAP_COMMITS, LAP_FACTS, LAP_PARTIALS, LAP_WINDOWS
+from pitwall.streaming.jobs import LAP_COMMITS, LAP_FACTS, LAP_PARTIALS, LAP_WINDOWS, lap_table
+from pitwall.streaming.runs import last_commit
 
 log = logging.getLogger(__name__)
 
@@ -49,15 +50,6 @@ RUN = "run_id string"
 SUMMARIES = f"race_id string, json string, {RUN}"
 RUN_COMMITS = f"races bigint, {RUN}"
 FAILURE = "part int, parts int, error string, failed_at timestamp"
-FACTS = """event_id string, race_id string, car_id string, lap int, lap_time_ms bigint,
-    valid boolean, sectors_ms array<bigint>, pit_lap boolean, race_position int,
-    event_time string, kafka_partition int, kafka_offset bigint, batch_id bigint"""
-WINDOWS = """topic string, kafka_timestamp timestamp, kafka_partition int, kafka_offset bigint,
-    event_id string, event_time string, race_id string, car_id string, lap int,
-    avro_envelope binary, batch_id bigint"""
-PARTIALS = """race_id string, car_id string, completed_lap_count bigint, valid_lap_count bigint,
-    best_lap_time_ms bigint, worst_lap_time_ms bigint, sum_lap_time_ms bigint, batch_id bigint"""
-BATCH_COMMITS = "done boolean, batch_id bigint"
 
 
 def _checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -139,10 +131,12 @@ def materialize_finished_races(
     def events(topic: str, races: DataFrame) -> DataFrame:
         return decoded(topic).select("evento.*").join(races, "race_id", "left_semi")
 
-    def incremental(table: str, schema: str) -> DataFrame:
-        commits = read_layer(spark, f"{base}/{LAP_COMMITS}", _schema(BATCH_COMMITS))
-        rows = read_layer(spark, f"{base}/{table}", _schema(schema))
-        return committed_batch_scan(rows.join(ready, "race_id", "left_semi"), commits)
+    def incremental(table: str) -> DataFrame:
+        # Merged runs are sorted by race, so the bounds skip most of their row groups.
+        laps_of_all = lap_table(spark, base, table, lap_version)
+        return laps_of_all.filter(F.col("race_id").between(*bounds)).join(
+            ready, "race_id", "left_semi"
+        )
 
     archived = archive_scan(spark, f"{base}/{ARCHIVE}", ["control"])
     controls = decode(archived, "control").select("evento.*")
@@ -158,19 +152,21 @@ def materialize_finished_races(
         .drop("frame_snapshot_id")
     )
     ready = _checkpointed(spark, laps.race_finish_gate(newest).filter("ready").select("race_id"))
+    bounds = ready.agg(F.min("race_id"), F.max("race_id")).first()
+    lap_version = last_commit(spark, f"{base}/{LAP_COMMITS}")[0]
     if ready.isEmpty():
         return ready
     final = write(newest.join(ready, "race_id", "left_semi"), SILVER_FINAL)
 
-    facts = incremental(LAP_FACTS, FACTS)
-    merged = laps.merge_lap_partials(incremental(LAP_PARTIALS, PARTIALS))
+    facts = incremental(LAP_FACTS)
+    merged = laps.merge_lap_partials(incremental(LAP_PARTIALS))
     coverage = _checkpointed(spark, gold.incremental_coverage(final, merged, facts))
     raw = decoded("lap_completed").select("kafka_partition", "kafka_offset", "evento.*")
     chosen = gold.lap_source_choice(coverage, facts, raw.join(ready, "race_id", "left_semi"))
     stored_laps = write(chosen, SILVER_LAPS)
     stops = write(events("pitstop", ready), SILVER_STOPS)
     bronze = _bronze(decoded, contracts).join(ready, "race_id", "left_semi")
-    write(gold.bronze_union(bronze, incremental(LAP_WINDOWS, WINDOWS), coverage), BRONZE_EVENTS)
+    write(gold.bronze_union(bronze, incremental(LAP_WINDOWS), coverage), BRONZE_EVENTS)
 
     classified = write(
         gold.classification(final, laps.valid_lap_stats(stored_laps), laps.pit_stop_counts(stops)),
