@@ -2,20 +2,23 @@
 
 Each document has two histograms: bytes by character class, and common words of each language with
 one bin for all other words. The reference of a language is the mean histogram of its documents
-that pass the base rules. A document is rejected if the Jensen-Shannon distance to the closest
-language reference is too large; histograms of too little text are not judged.
+that pass the base rules. A document is rejected if the Jensen-Shannon distance to the reference of
+its own language is too large; histograms of too little text, and documents whose language is not
+known or has no reference, are not judged.
 """
 
 from __future__ import annotations
 
+import json
 from collections import Counter
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import per_text
+from pitwall.llm.common import per_row, written
 
 # Common words per language.
 COMMON_WORDS = {
@@ -127,14 +130,12 @@ def jensen_shannon(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(total, 0.0, 1.0))
 
 
-def language_references(
-    docs: DataFrame, *, text: str = "text", lang: str = "lang", least_docs: int = 5
-) -> DataFrame:
+def language_references(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFrame:
     """Mean histograms per language over all documents that pass the base rules.
 
-    One row per language: lang, n_docs, classes and words (array<double>). Documents without a
-    language and those of languages with fewer than ``least_docs`` such documents are not used.
-    Sums are built before the shuffle, one row per language and task.
+    One row per language that has such a document: lang, n_docs, classes and words (array<double>).
+    Documents without a language are not used. Sums are built before the shuffle, one row per
+    language and task.
     """
 
     def partial(batches):
@@ -171,7 +172,7 @@ def language_references(
         *[F.sum(F.col("bins")[i]).alias(f"b{i}") for i in range(width)],
     )
     means = [F.col(f"b{i}") / F.col("n_docs") for i in range(width)]
-    return summed.filter(F.col("n_docs") >= least_docs).select(
+    return summed.filter("n_docs > 0").select(
         "lang",
         "n_docs",
         F.array(*means[: len(CLASSES)]).alias("classes"),
@@ -197,43 +198,67 @@ def quality_rules(
 
     Columns: the id columns, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, class_distance, word_distance, nearest_lang. ``references`` has the columns
-    of ``language_references`` and is built from ``docs`` if absent; at most ``most_languages``
-    languages (the largest) are compared. A distance is null where the text has fewer than
-    ``least_chars`` bytes or ``least_words`` words, and never rejects then, nor where there is no
-    reference at all. The word distance may reach ``word_limit`` plus ``word_slack`` over the root of
-    the number of words, as the histogram of a short text is far from its own source's by chance.
-    Null and empty texts have no words and fail the base rules. Repeated rows
-    stay repeated; other columns are not read.
+    of ``language_references`` and is built from ``docs`` if absent. The distances are those to the
+    reference of the document's own language, however few documents it was built from; they are null
+    where the document has no language or its language no reference, and where the text has fewer
+    than ``least_chars`` bytes or ``least_words`` words. A null distance never rejects. The word
+    distance may reach ``word_limit`` plus ``word_slack`` over the root of the number of words, as
+    the histogram of a short text is far from its own source's by chance. nearest_lang has the least
+    word distance among the ``most_languages`` largest languages and the own one; it decides
+    nothing. The references of those languages go to the tasks as one table; those of further
+    languages are joined to their documents, with the same verdicts. Null and empty texts have no
+    words and fail the base rules. Repeated rows stay repeated; other columns are not read.
     """
     if references is None:
-        references = language_references(docs, text=text, lang=lang)
+        references = written(language_references(docs, text=text, lang=lang), "references")
     known = (
-        references.orderBy(F.desc("n_docs"), "lang")
-        .limit(most_languages)
+        references.filter("lang IS NOT NULL")
+        .orderBy(F.desc("n_docs"), "lang")
+        .limit(most_languages + 1)
         .collect()  # one short row per language
     )
-    names = [row["lang"] for row in known]
+    further = len(known) > most_languages
+    known = known[:most_languages]
+    names = [row["lang"].encode() for row in known]
+    place = {name: i for i, name in enumerate(names)}
     classes = np.array([row["classes"] for row in known])
     words = np.array([row["words"] for row in known])
 
     def make():
-        def judge(data: bytes) -> tuple:
+        @lru_cache(maxsize=256)
+        def unpacked(reference: bytes) -> tuple[np.ndarray, np.ndarray]:
+            both = json.loads(reference)
+            return np.array(both["classes"]), np.array(both["words"])
+
+        def judge(data: bytes | None, own: bytes | None, reference: bytes | None = None) -> tuple:
+            data = data or b""
             n_words, word_chars, symbols, dup_lines, repeat = base_counts(data)
             base_failed = fails_base(n_words, repeat)
+            target = None
+            if own in place:
+                target = classes[place[own]], words[place[own]]
+            elif reference is not None:
+                target = unpacked(reference)
             by_class = by_word = nearest = None
-            if names and len(data) >= least_chars:
-                by_class = float(jensen_shannon(class_histogram(data), classes).min())
-            if names and n_words >= least_words:
-                distances = jensen_shannon(word_histogram(data), words)
-                by_word, nearest = float(distances.min()), names[int(distances.argmin())]
+            if target is not None and len(data) >= least_chars:
+                by_class = float(jensen_shannon(class_histogram(data), target[0])[0])
+            if n_words >= least_words and (names or target is not None):
+                seen = word_histogram(data)
+                if target is not None:
+                    by_word, nearest = float(jensen_shannon(seen, target[1])[0]), own
+                if names:
+                    distances = jensen_shannon(seen, words)
+                    best = int(distances.argmin())
+                    if by_word is None or distances[best] < by_word:
+                        nearest = names[best]
             kept = (
                 not base_failed
                 and (by_class is None or by_class <= class_limit)
                 and (by_word is None or by_word <= word_limit + word_slack / n_words**0.5)
             )
             return (
-                n_words, word_chars, symbols, dup_lines, repeat,
-                base_failed, kept, by_class, by_word, nearest,
+                n_words, word_chars, symbols, dup_lines, repeat, base_failed, kept,
+                by_class, by_word, None if nearest is None else nearest.decode(),
             )
 
         return judge
@@ -243,6 +268,22 @@ def quality_rules(
         "n_repeat_words": "long", "base_failed": "boolean", "kept": "boolean",
         "class_distance": "double", "word_distance": "double", "nearest_lang": "string",
     }
-    return docs.select(*id_columns, per_text(fields, make)(F.col(text)).alias("_rule")).select(
-        *id_columns, *[f"_rule.{name}" for name in fields]
+    rule = per_row(fields, make)
+    # Apart from the id columns, names are the operator's own and cannot clash.
+    ids = F.struct(*[F.col(name) for name in id_columns]).alias("_ids")
+    given = docs.select(
+        ids, F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang")
     )
+    if further:
+        in_table = F.coalesce(F.col("_lang").isin([row["lang"] for row in known]), F.lit(True))
+        rest = references.filter(~F.col("lang").isin([row["lang"] for row in known])).select(
+            F.col("lang").alias("_lang"), F.to_json(F.struct("classes", "words")).alias("_reference")
+        )
+        others = given.filter(~in_table).join(rest, "_lang", "left")
+        judged = given.filter(in_table).select("_ids", rule("_text", "_lang").alias("_rule"))
+        judged = judged.unionByName(
+            others.select("_ids", rule("_text", "_lang", "_reference").alias("_rule"))
+        )
+    else:
+        judged = given.select("_ids", rule("_text", "_lang").alias("_rule"))
+    return judged.select("_ids.*", *[f"_rule.{name}" for name in fields])

@@ -83,6 +83,50 @@ def test_quality_rules_guard_short_texts(spark):
     assert rows[9]["n_words"] == 60 and rows[9]["n_symbols"] == 60
 
 
+def test_quality_rules_judge_by_the_own_language(spark):
+    """Every verdict against a plain version; few documents or many languages change nothing."""
+    draw = random.Random(6)
+    own_words = {name: text.split() for name, text in quality_rules.COMMON_WORDS.items()}
+    own_words["xx"] = [f"{a}{b}q" for a in "kzwv" for b in "aeiou"]
+
+    def text(lang, n=400):
+        return " ".join(draw.choice(own_words[lang]) for _ in range(n))
+
+    rows = [(lang, text(lang)) for lang in ("en", "de", "fr") for _ in range(7)]
+    rows += [("en", text("de")), ("de", "#1 $2 " * 20 + text("de", 60)), ("en", "the of " * 60)]
+    rows += [(None, text("fr")), ("none", "# " * 70), ("en", None), ("en", "short text")]
+    for rare in (1, 4, 5):
+        docs = rows + [("xx", text("xx")) for _ in range(rare)]
+        frame = spark.createDataFrame(
+            [(i, *row) for i, row in enumerate(docs)], "doc_id long, lang string, text string"
+        )
+        passing = {}
+        for lang, body in docs:
+            words = (body or "").encode().split()
+            if lang and not quality_rules.fails_base(
+                len(words), quality_rules.repeated_words(words)
+            ):
+                passing.setdefault(lang, []).append(body.encode())
+        expected = []
+        for lang, body in docs:
+            data = (body or "").encode()
+            words = data.split()
+            kept = not quality_rules.fails_base(len(words), quality_rules.repeated_words(words))
+            of = passing.get(lang, [])
+            for histogram, judged, limit in (
+                (quality_rules.class_histogram, len(data) >= 200, 0.25),
+                (quality_rules.word_histogram, len(words) >= 50, 0.25 + 0.8 / max(1, len(words)) ** 0.5),
+            ):
+                if of and judged:
+                    mean = np.mean([histogram(other) for other in of], axis=0)
+                    kept &= quality_rules.jensen_shannon(histogram(data), mean)[0] <= limit
+            expected.append(kept)
+        for most in (1000, 2, 1):
+            got = quality_rules.quality_rules(frame, most_languages=most).collect()
+            assert [r["kept"] for r in sorted(got)] == expected
+        assert all(expected[len(rows) :]) and not expected[21] and expected[0]
+
+
 @pytest.mark.parametrize("name", ["quality", "tokens", "bpe", "secrets"])
 def test_awkward_and_empty_inputs(awkward, nothing, name):
     run = {
