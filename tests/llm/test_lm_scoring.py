@@ -213,3 +213,48 @@ def test_packed_arrays_come_back():
     arrays = [np.array([1, -5, 2**62]), np.zeros(0, np.int32), np.array([0, 1], np.uint8)]
     for before, after in zip(arrays, lm_scoring.unpacked(lm_scoring.packed(*arrays)), strict=True):
         assert before.dtype == after.dtype and before.tolist() == after.tolist()
+
+
+def test_cells_and_pairs_stay_packed(spark, documents, monkeypatch):
+    rows, written = {}, lm_scoring._written
+
+    def counted(frame, name, *more):
+        table = written(frame, name, *more)
+        rows[name] = max(rows.get(name, 0), table.count())
+        return table
+
+    monkeypatch.setattr(lm_scoring, "_written", counted)
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    lm_scoring.lm_scores(documents, held, coded=10**6).collect()
+    # Of one bucket: texts and two packed rows a task, and a few rows for all cells and sweeps.
+    assert rows["tokens"] <= documents.count() + 2 * 8
+    assert rows["counted"] <= 20 and rows["swept"] <= 20
+    lm_scoring.lm_scores(documents, held, coded=200).collect()
+    assert rows["tokens"] <= documents.count() + 2 * 8
+    assert rows["counted"] <= 20
+
+
+@pytest.mark.parametrize("coded", [5, 60])
+def test_some_words_coded_in_many_buckets_equal_brute_force(spark, data, coded, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BUCKET_TOKENS", 150)
+    monkeypatch.setattr(lm_scoring, "HELD_TOKENS", 300)
+    docs = spark.read.parquet(f"{data}/documents.parquet").filter("doc_id < 5")
+    # Repeated texts repeat pairs of rare words, also across buckets and out of training.
+    texts = [text for _, text in texts_of(docs)]
+    rows = list(enumerate([*texts, *TEXTS, *texts[:2], "only held out twice held out twice", *texts]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    codes, chosen, hashed = {}, lm_scoring.coded_words, lm_scoring.hashed_code
+
+    def remembered(words, most):
+        found = chosen(words, most)
+        codes.update({word: lm_scoring.FIRST + i for i, word in enumerate(found[0])})
+        return found
+
+    monkeypatch.setattr(lm_scoring, "coded_words", remembered)
+    scored = lm_scoring.lm_scores(frame, F.col("doc_id") % 4 == 3, coded=coded).collect()
+    assert 0 < len(codes) <= coded
+    monkeypatch.setattr(lm_scoring, "hashed_code", lambda word: codes.get(word) or hashed(word))
+    expected, _ = plain_scores(rows, lambda key: key % 4 == 3, 0)
+    assert len(scored) == len(rows)
+    for row in scored:
+        assert row["score"] == pytest.approx(expected[row["doc_id"]]), row["doc_id"]
