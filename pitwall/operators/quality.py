@@ -47,6 +47,11 @@ def with_reasons(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return df.withColumn("reasons", F.array_compact(F.array(*broken)))
 
 
+def first_reason(rules: Iterable[Rule]) -> Column:
+    """The first rule a row breaks, null if it breaks none; later rules are not looked at."""
+    return F.coalesce(*[F.when(~_holds(condition), F.lit(reason)) for reason, condition in rules])
+
+
 def split_rejected(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted rows without reasons, and rejected rows with their first reason."""
     good = F.size("reasons") == 0
@@ -55,7 +60,7 @@ def split_rejected(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted, rejected
 
 
-def validate_source_event(events: DataFrame) -> DataFrame:
+def source_rules(events: DataFrame) -> list[Rule]:
     """Identity, clock and per-kind limits of producer events (wide rows of all kinds)."""
     kind = F.col("kind")
 
@@ -72,7 +77,7 @@ def validate_source_event(events: DataFrame) -> DataFrame:
     sector = value("sector")
     timed = (sector == 0) | least("sector_time_ms", 0)
     track_status = _column(events, "track_status", "string")
-    rules = [
+    return [
         (
             NO_IDENTITY,
             (F.length(F.col("event_id")) > 0) & (F.length(F.col("race_id")) > 0),
@@ -112,7 +117,11 @@ def validate_source_event(events: DataFrame) -> DataFrame:
             only("incident", least("lap", 0) & least("penalty_seconds", 0)),
         ),
     ]
-    return with_reasons(events, rules)
+
+
+def validate_source_event(events: DataFrame) -> DataFrame:
+    """Producer events with the names of all :func:`source_rules` they break."""
+    return with_reasons(events, source_rules(events))
 
 
 # Bounds of the telemetry contract, ``(lowest, highest)``; null = no bound.
