@@ -2,12 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pitwall.operators.laps import lap_aggregates, whole_laps
+from pitwall.operators.laps import lap_aggregates, merge_lap_aggregates, whole_laps
+from pitwall.streaming import runs
 
 LAP = ["race_id", "car_id", "lap"]
+PARTS = "completion/parts"
+COMMITS = "completion/commits"
+PART = """race_id string, car_id string, lap int, event_id string, lap_time_ms bigint,
+    pit_lap boolean, _finish_valid boolean, neutralized boolean, _sector_1 bigint,
+    _sector_2 bigint, _sector_3 bigint"""
+
+
+def _completed(grouped: DataFrame) -> DataFrame:
+    """Whole laps with a column for each sector."""
+    sectors = [F.col("sectors_ms")[i].alias(f"s{i + 1}_ms") for i in range(3)]
+    return whole_laps(grouped).select(
+        *LAP, "event_id", "lap_time_ms", *sectors, "pit_lap", "neutralized", "valid"
+    )
+
+
+def lap_completion_sink(base: str, fan: int = runs.FAN) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for crossings: what those of a trigger say of their laps is a run.
+
+    A trigger writes its own laps only and holds no state, whatever was stored before; merged runs
+    have one row a lap.  :func:`completed_laps` puts the runs together, so late sectors and
+    neutralisations correct what was said before, and laps are kept for good.  A repeated batch
+    replaces its run, and one that is committed is not written again.
+    """
+
+    def combined(parts: DataFrame) -> DataFrame:
+        return merge_lap_aggregates(parts, ["event_id"], F.max(runs.RUN).alias(runs.RUN))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        last, newest = runs.last_commit(spark, f"{base}/{COMMITS}")
+        if batch_id <= newest:
+            return
+        parts = batch.groupBy(*LAP).agg(*lap_aggregates(["event_id"]))
+        parts = parts.select(*T.StructType.fromDDL(PART).names)
+        runs.append_run(parts, f"{base}/{PARTS}", last + 1, ["race_id"], fan, combine=combined)
+        commit = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
+        runs.append_run(commit, f"{base}/{COMMITS}", last + 1, fan=fan)
+
+    return sink
+
+
+def completed_laps(spark: SparkSession, base: str, fan: int = runs.FAN) -> DataFrame:
+    """Every lap whose finish and three sectors are in, as of the newest committed trigger."""
+    last = runs.last_commit(spark, f"{base}/{COMMITS}")[0]
+    parts = runs.read_runs(spark, f"{base}/{PARTS}", T.StructType.fromDDL(PART), last, fan)
+    return _completed(merge_lap_aggregates(parts, ["event_id"]))
 
 
 def lap_completion_stream(
@@ -25,9 +75,4 @@ def lap_completion_stream(
     if started_at is not None:
         timing = timing.withWatermark(started_at, delay)
         keys = [*LAP, started_at]
-    grouped = timing.groupBy(*keys).agg(*lap_aggregates(["event_id"]))
-    laps = whole_laps(grouped)
-    sectors = [F.col("sectors_ms")[i].alias(f"s{i + 1}_ms") for i in range(3)]
-    return laps.select(
-        *LAP, "event_id", "lap_time_ms", *sectors, "pit_lap", "neutralized", "valid"
-    )
+    return _completed(timing.groupBy(*keys).agg(*lap_aggregates(["event_id"])))
