@@ -20,6 +20,7 @@ from pitwall.operators.lifecycle import latest_wins_view
 from pitwall.operators.ranges import keep_first, tie_break
 from pitwall.operators.timing import recent_laps
 from pitwall.sources.layers import read_layer
+from pitwall.sources.storage import COMPRESSION, shuffles_dropped
 
 BUCKETS = 64
 SLOTS = 3
@@ -68,12 +69,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def _put(rows: DataFrame, path: str, *folders: str) -> None:
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*folders)
-        .parquet(path)
-    )
+    with shuffles_dropped(rows.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", COMPRESSION)
+            .partitionBy(*folders)
+            .parquet(path)
+        )
 
 
 def _laid_down(batch: DataFrame, path: str, version: int) -> DataFrame:
