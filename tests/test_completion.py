@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
+from pyspark.sql import functions as F
+
 from pitwall.plans import query_streams as q
+from pitwall.plans import registry
+from pitwall.sources import decode
 from pitwall.streaming import completion
 
 CROSSING = """race_id string, car_id string, lap int, checkpoint_id string, sector int,
@@ -55,3 +59,30 @@ def test_rows_out_of_order_come_once_each_without_a_shuffle(spark):
     assert len(batches) == 4 and min(map(len, batches)) > 1000
     assert sorted(sum(batches, [])) == sorted([*range(4000), *range(0, 4000, 3)])
     assert not any("Exchange" in plan for plan in plans)
+
+
+def test_a_payload_is_parsed_once_and_not_for_each_field(spark):
+    reader = "event_id string, lap int, extra bigint"
+    payload = decode.json_decoder(F.col("payload"), "event_id string, lap int", reader)
+    rows = spark.createDataFrame([('{"event_id":"a","lap":3}',), ("{broken",), (None,)], "payload string")
+    decoded = rows.withColumn("evento", payload)
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    values = [r.evento and tuple(r.evento) for r in decoded.collect()]
+    assert values == [("a", 3, None), None, None]
+
+
+def test_lap_records_come_in_few_triggers_whatever_the_table(spark, monkeypatch):
+    laps = spark.range(0, 4000, 1, 50).selectExpr(
+        "CAST(id AS STRING) AS event_id", "'r' AS race_id", "'c' AS car_id", "CAST(id AS INT) AS lap",
+        "id AS lap_time_ms", "true AS valid", "false AS pit_lap", "timestamp '2024-01-01' AS event_time",
+        "0 AS kafka_partition", "id AS kafka_offset",
+    )
+    commits = []
+    monkeypatch.setattr(
+        q.jobs, "lap_microbatch_sink", lambda *a: lambda batch, number: commits.append(batch.count())
+    )
+    tables = type("Tables", (), {"spark": spark, "__call__": lambda self, name: laps})()
+    registry._load()
+    registry._QUERIES["stream_lap_metrics"](tables)
+    assert len(commits) == 8 and sum(commits) == 4000
