@@ -69,3 +69,15 @@ def test_shuffles_of_a_written_table_are_dropped(spark, tmp_path):
         spark.range(1000).repartition(4, "id").write.parquet(str(tmp_path / "rows"))
     assert spark.conf.get(storage.DROP_SHUFFLES) == before
     assert spark.read.parquet(str(tmp_path / "rows")).count() == 1000
+
+
+def stored_for(spark, folder, monkeypatch, *views):
+    monkeypatch.setattr(adapters, "_stored", {})
+    for view in views:
+        adapters.Tables(spark, folder)(view).count()
+    return {view for _, _, view in adapters._stored}
+
+
+def test_the_gap_reference_stores_laps_and_one_row_a_car(spark, folder, monkeypatch):
+    found = stored_for(spark, folder, monkeypatch, "timing_cut", "order_cut")
+    assert found == {"lap_starts", "cut_lap", "order_cut"}
