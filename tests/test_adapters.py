@@ -81,3 +81,9 @@ def stored_for(spark, folder, monkeypatch, *views):
 def test_the_gap_reference_stores_laps_and_one_row_a_car(spark, folder, monkeypatch):
     found = stored_for(spark, folder, monkeypatch, "timing_cut", "order_cut")
     assert found == {"lap_starts", "cut_lap", "order_cut"}
+
+
+def test_final_states_store_no_frames(spark, folder, monkeypatch):
+    assert stored_for(spark, folder, monkeypatch, "final_state", "laps") == {
+        "lap_starts", "final_state",
+    }
